@@ -1,6 +1,31 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL.
+
+A query is a function (spark, sf_dir) -> DataFrame; `query` registers it under its name together with the DuckDB SQL
+that gives the same rows, where SQL can express it.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+from importlib import import_module
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+for _module in ("relational", "aggregates", "sessions", "attribution", "channels", "identity", "versions", "payments", "marts", "incremental"):
+    import_module(f"wherry.plans.{_module}")
