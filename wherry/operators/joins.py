@@ -59,5 +59,6 @@ def policy_join(df: DataFrame, policy: DataFrame, condition: Column | None = Non
 def page_after(df: DataFrame, keys: list[str], cursor: tuple | None, size: int) -> DataFrame:
     """A keyset page: the first `size` rows after the cursor, by keys."""
     if cursor is not None:
-        df = df.filter(F.struct(*keys) > F.struct(*[F.lit(x) for x in cursor]))
+        after = F.struct(*[F.lit(x).cast(df.schema[k].dataType).alias(k) for k, x in zip(keys, cursor)])
+        df = df.filter(F.struct(*keys) > after)
     return df.orderBy(*keys).limit(size)

@@ -13,6 +13,10 @@ from wherry.plans.sessions import TOUCH_SQL, touchpoints
 from wherry.sources.tables import load
 
 
+#: Added before rounding, so that sums in another order do not fall on the other side of a half.
+TIE = 1e-7
+
+
 def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "signup"))
     return rows.select(F.col("event_id").alias("conversion_id"), F.col("user_id").cast("string").alias("profile"), F.col("ts").alias("conversion_time"), F.col("event_type").alias("conversion_type"), F.col("value").alias("amount"))
@@ -51,20 +55,20 @@ def attribution_weight_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {JOURNEY_SQL} SELECT CAST(conversion_time AS DATE) AS day, {LABEL_SQL} AS channel, conversion_type,
-  {', '.join(f"round(sum({c}), 6) AS {m}_conversions, round(sum(amount * {c}), 4) AS {m}_amount" for m, c in zip(MODELS, ('f', 'l', 'm', 'fp', 'lp', 'mp')))} FROM weights GROUP BY ALL""")
+  {', '.join(f"round(sum({c}), 6) AS {m}_conversions, round(sum(amount * {c}) + 1e-7, 4) AS {m}_amount" for m, c in zip(MODELS, ('f', 'l', 'm', 'fp', 'lp', 'mp')))} FROM weights GROUP BY ALL""")
 def attribution_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions and amounts of all six models by day, channel and type."""
     rows = journeys(touchpoints(spark, sf_dir), conversions(spark, sf_dir)).withColumn("channel", channel_label())
-    measures = [x for m in MODELS for x in (F.round(F.sum(f"{m}_weight"), 6).alias(f"{m}_conversions"), F.round(F.sum(F.col("amount") * F.col(f"{m}_weight")), 4).alias(f"{m}_amount"))]
+    measures = [x for m in MODELS for x in (F.round(F.sum(f"{m}_weight"), 6).alias(f"{m}_conversions"), F.round(F.sum(F.col("amount") * F.col(f"{m}_weight")) + TIE, 4).alias(f"{m}_amount"))]
     return rows.groupBy(F.col("conversion_time").cast("date").alias("day"), "channel", "conversion_type").agg(*measures)
 
 
-@query(f"WITH {JOURNEY_SQL} SELECT touch_id, profile, {', '.join(f'round(sum({c}), 6) AS {m}_n, round(sum(amount * {c}), 4) AS {m}_amount' for m, c in zip(('first', 'last', 'multi'), 'flm'))} FROM weights WHERE touch_id IS NOT NULL GROUP BY ALL HAVING round(sum(m), 6) > 0")
+@query(f"WITH {JOURNEY_SQL} SELECT touch_id, profile, {', '.join(f'round(sum({c}), 6) AS {m}_n, round(sum(amount * {c}) + 1e-7, 4) AS {m}_amount' for m, c in zip(('first', 'last', 'multi'), 'flm'))} FROM weights WHERE touch_id IS NOT NULL GROUP BY ALL HAVING round(sum(m), 6) > 0")
 def attribution_credits_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same credits per touch without pairing touches and conversions."""
     measured = conversions(spark, sf_dir).withColumn("n", F.lit(1.0))
     found = credits(touchpoints(spark, sf_dir), measured.select("profile", "conversion_id", "conversion_time", F.col("n").alias("ones"), "amount"), ["ones", "amount"])
-    rounded = found.select("touch_id", "profile", *[F.round(f"{m}_{c}", d).alias(f"{m}_{a}") for m in ("first", "last", "multi") for c, a, d in (("ones", "n", 6), ("amount", "amount", 4))])
+    rounded = found.select("touch_id", "profile", *[F.round(F.col(f"{m}_{c}") + e, d).alias(f"{m}_{a}") for m in ("first", "last", "multi") for c, a, d, e in (("ones", "n", 6, 0.0), ("amount", "amount", 4, TIE))])
     return rounded.filter("touch_id is not null and multi_n > 0")
 
 

@@ -27,5 +27,5 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-for _module in ("relational", "aggregates", "sessions", "attribution", "channels", "identity", "versions", "payments", "marts", "incremental"):
+for _module in ("relational", "aggregates", "sessions", "attribution", "channels", "identity", "versions", "payments", "marts", "rules", "incremental"):
     import_module(f"wherry.plans.{_module}")

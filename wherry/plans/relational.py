@@ -30,16 +30,16 @@ def left_join_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "o_orderkey")
 
 
-_DAILY = """o AS (SELECT CAST(o_orderdate AS DATE) AS day, nullif(o_orderstatus, 'P') AS grain, sum(o_totalprice) AS spend FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY ALL),
-            l AS (SELECT CAST(l_shipdate AS DATE) AS day, nullif(l_linestatus, 'P') AS grain, sum(l_extendedprice) AS revenue FROM lineitem WHERE l_orderkey % 3 <> 1 GROUP BY ALL)"""
+_DAILY = """o AS (SELECT CAST(o_orderdate AS DATE) AS day, nullif(o_orderstatus, 'P') AS grain, sum(o_totalprice) AS spend FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY ALL),
+            l AS (SELECT CAST(l_shipdate AS DATE) AS day, nullif(l_linestatus, 'P') AS grain, sum(l_extendedprice) AS revenue FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL)"""
 
 
 @query(f"""WITH {_DAILY} SELECT coalesce(o.day, l.day) AS day, coalesce(o.grain, l.grain) AS grain, round(spend, 2) AS spend, round(revenue, 2) AS revenue,
               CASE WHEN o.day IS NULL THEN 0 ELSE 1 END AS has_left, CASE WHEN l.day IS NULL THEN 0 ELSE 1 END AS has_right
            FROM o FULL JOIN l ON o.day IS NOT DISTINCT FROM l.day AND o.grain IS NOT DISTINCT FROM l.grain""")
 def full_join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = load(spark, sf_dir, "orders").filter("o_orderkey % 3 <> 0").groupBy(F.col("o_orderdate").cast("date").alias("day"), F.expr("nullif(o_orderstatus, 'P')").alias("grain")).agg(F.round(F.sum("o_totalprice"), 2).alias("spend"))
-    r = load(spark, sf_dir, "lineitem").filter("l_orderkey % 3 <> 1").groupBy(F.col("l_shipdate").cast("date").alias("day"), F.expr("nullif(l_linestatus, 'P')").alias("grain")).agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
+    o = load(spark, sf_dir, "orders").filter("o_orderpriority <> '1-URGENT'").groupBy(F.col("o_orderdate").cast("date").alias("day"), F.expr("nullif(o_orderstatus, 'P')").alias("grain")).agg(F.round(F.sum("o_totalprice"), 2).alias("spend"))
+    r = load(spark, sf_dir, "lineitem").filter("l_returnflag <> 'R'").groupBy(F.col("l_shipdate").cast("date").alias("day"), F.expr("nullif(l_linestatus, 'P')").alias("grain")).agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
     return full_on(o, r, ["day", "grain"])
 
 
@@ -82,10 +82,10 @@ def semi_join_in_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").join(returned, F.col("p_partkey") == F.col("l_partkey"), "left_semi").select("p_partkey", "p_brand")
 
 
-@query("""WITH a AS (SELECT event_id, nullif(user_id % 4, 0) AS g FROM events WHERE event_id < 200), b AS (SELECT nullif(n_nationkey % 4, 0) AS g, min(n_name) AS name FROM nation GROUP BY 1)
+@query("""WITH a AS (SELECT event_id, nullif(user_id % 4, 0) AS g FROM events), b AS (SELECT nullif(n_nationkey % 4, 0) AS g, min(n_name) AS name FROM nation GROUP BY 1)
           SELECT event_id, name FROM a JOIN b ON a.g IS NOT DISTINCT FROM b.g""")
 def null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = load(spark, sf_dir, "events").filter("event_id < 200").select("event_id", F.expr("nullif(user_id % 4, 0)").alias("g"))
+    a = load(spark, sf_dir, "events").select("event_id", F.expr("nullif(user_id % 4, 0)").alias("g"))
     b = load(spark, sf_dir, "nation").groupBy(F.expr("nullif(n_nationkey % 4, 0)").cast("bigint").alias("g")).agg(F.min("n_name").alias("name"))
     return a.join(b, null_safe(a, b, ["g"])).select("event_id", "name")
 

@@ -29,7 +29,12 @@ def stream_ndjson(spark: SparkSession, path: str, schema: T.StructType = EVENT_L
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+    """A stream of a Parquet folder, or of one file by its name in its folder."""
+    reader = spark.readStream.schema(schema)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).isFile():
+        return reader.option("pathGlobFilter", target.getName()).parquet(target.getParent().toString())
+    return reader.parquet(path)
 
 
 def copy_append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
