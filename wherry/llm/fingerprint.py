@@ -15,8 +15,6 @@ row is its own next; empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
-import json
-
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,12 +30,17 @@ RUN_ROWS = 2_000
 MOST_RUNS = 16_384
 
 
+#: Of each bin's probe order, this many places are tried one by one; beyond them the order is ranked at once.
+PROBES = 40
+
+
 def _shingle_hashes(word_array: Column) -> Column:
-    """The 64-bit hashes of the shingles of an array of words, in ascending order."""
+    """The 64-bit hashes of the shingles of an array of words, in ascending order; none for no words."""
     starts = F.sequence(F.lit(0), F.size(word_array) - SHINGLE)
     many = F.transform(starts, lambda i: F.xxhash64(*[F.get(word_array, i + k) for k in range(SHINGLE)]))
     one = F.array(F.xxhash64(F.array_join(word_array, " ")))
-    return F.sort_array(F.when(F.size(word_array) >= SHINGLE, many).otherwise(one))
+    none = F.array().cast("array<bigint>")
+    return F.sort_array(F.when(F.size(word_array) >= SHINGLE, many).when(F.size(word_array) > 0, one).otherwise(none))
 
 
 def _occupied(hashes: Column) -> Column:
@@ -47,29 +50,39 @@ def _occupied(hashes: Column) -> Column:
     return F.transform(least, lambda h: ((bin_of(h) + BINS // 2) * (LOW_MASK + 1) + h.bitwiseAND(F.lit(LOW_MASK))).cast("int"))
 
 
-def _densified(occupied: Column) -> Column:
-    """One value per bin."""
-    low = lambda e: e.bitwiseAND(F.lit(LOW_MASK))
-    probes = json.dumps([{"i": i, "a": (xxhash.xxh32_intdigest(str(i)) & (BINS - 1)) | 1} for i in range(BINS)])
-    order = F.from_json(F.lit(probes), "array<struct<i:int,a:int>>")
+def _low(e: Column) -> Column:
+    return e.bitwiseAND(F.lit(LOW_MASK)).cast("smallint")
+
+
+def _probe_orders() -> Column:
+    """For each bin i the odd a of its probe order and the inverse of a: j has rank a * (j - i), rank t is i + t / a."""
+    odd = [(xxhash.xxh32_intdigest(str(i)) & (BINS - 1)) | 1 for i in range(BINS)]
+    # array() and struct() of literals are folded to one literal; from_json would parse it again for each row
+    return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(pow(a, -1, BINS)).alias("inverse")) for i, a in enumerate(odd)])
 
-    def fill(bins: Column) -> Column:
-        def value(p: Column) -> Column:
-            rank = lambda e: ((F.shiftright(e, LOW_BITS) - p["i"]) * p["a"]).bitwiseAND(F.lit(BINS - 1))
-            nearest = F.array_min(F.transform(occupied, lambda e: rank(e) * (LOW_MASK + 1) + low(e)))
-            own = F.array_position(bins, p["i"]).cast("int")
-            return F.when(own > 0, low(F.get(occupied, own - 1))).otherwise(low(nearest))
 
-        return F.transform(order, lambda p: value(p).cast("smallint"))
+def _densified(occupied: Column, own: Column) -> Column:
+    """One value per bin: its own, or that of the first occupied bin in its probe order."""
 
-    full = F.transform(occupied, lambda e: low(e).cast("smallint"))
-    return F.when(F.size(occupied) == BINS, full).otherwise(let(F.transform(occupied, lambda e: F.shiftright(e, LOW_BITS)), fill))
+    def value(p: Column) -> Column:
+        tried = [F.get(own, (p["i"] + p["inverse"] * t).bitwiseAND(F.lit(BINS - 1))) for t in range(PROBES)]
+        rank = lambda e: ((F.shiftright(e, LOW_BITS) - p["i"]) * p["a"]).bitwiseAND(F.lit(BINS - 1))
+        ranked = F.array_min(F.transform(occupied, lambda e: rank(e) * (LOW_MASK + 1) + e.bitwiseAND(F.lit(LOW_MASK))))
+        return F.coalesce(*tried, _low(ranked))
 
+    return F.when(F.size(occupied) == 0, F.array().cast("array<smallint>")).otherwise(F.transform(_probe_orders(), value))
 
-def signature(text: Column) -> Column:
-    """array<smallint> of BINS values; empty for a text without words."""
-    made = lambda w: let(let(_shingle_hashes(w), _occupied), _densified)
-    return let(words(text), lambda w: F.when(F.size(w) == 0, F.array().cast("array<smallint>")).otherwise(made(w)))
+
+def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
+    """df with `name`, array<smallint> of BINS values; empty for a text without words.
+
+    Each step is a column of its own, evaluated once; what a lambda mentions is bound by `let`, else the optimizer would
+    put its definition inside the lambda.
+    """
+    places = F.sequence(F.lit(0), F.lit(BINS - 1))
+    own = lambda o: let(F.transform(o, lambda e: F.shiftright(e, LOW_BITS)), lambda b: F.transform(places, lambda i: _low(F.get(o, F.array_position(b, i).cast("int") - 1))))
+    stepped = df.withColumn("_w", words(F.col(text))).withColumn("_h", _shingle_hashes(F.col("_w"))).withColumn("_o", _occupied(F.col("_h")))
+    return stepped.withColumn(name, let(F.col("_o"), lambda o: let(own(o), lambda d: _densified(o, d)))).drop("_w", "_h", "_o")
 
 
 def packed(sig: Column) -> Column:
@@ -96,11 +109,15 @@ def _runs(rows: DataFrame) -> tuple[list[int], list[int | None]]:
     return bounds, [tops.get(k) for k in range(len(bounds) + 1)]
 
 
+def _literal(values: list, kind: str) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast(kind)
+
+
 def _run(doc_id: Column, bounds: list[int]) -> Column:
     """How many bounds are under doc_id: the number of its run, by binary search; 0 for null."""
     if not bounds:
         return F.lit(0)
-    array = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+    array = _literal(bounds, "array<bigint>")
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
     under = lambda at, step: F.coalesce(F.get(array, at + step - 1) < doc_id, F.lit(False))
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(under(at, step), at + step).otherwise(at))
@@ -111,8 +128,8 @@ def _with_next(rows: DataFrame) -> DataFrame:
     bounds, tops = _runs(rows)
     used = [k for k, top in enumerate(tops) if top is not None] or [0]
     above = {k: used[(i + 1) % len(used)] for i, k in enumerate(used)}  # the run whose last row is followed by this run's first
-    targets = F.from_json(F.lit(json.dumps([above.get(k, 0) for k in range(len(tops))])), "array<int>")
-    firsts = F.from_json(F.lit(json.dumps(tops)), "array<bigint>")
+    targets = _literal([above.get(k, 0) for k in range(len(tops))], "array<int>")
+    firsts = _literal(tops, "array<bigint>")
     numbered = rows.withColumn("run", _run(F.col("doc_id"), bounds))
     own = F.struct(F.col("run").alias("run"), F.lit(False).alias("guest"))
     guest = F.struct(F.get(targets, F.col("run")).alias("run"), F.lit(True).alias("guest"))
@@ -126,14 +143,14 @@ def _with_next(rows: DataFrame) -> DataFrame:
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, with the likenesses that follow from them."""
     rows = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text"))
-    signed = _with_next(rows.withColumn("sig", signature(F.col("text"))))
+    signed = _with_next(with_signature(rows, "text", "sig"))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = signed.select(
         "doc_id", "sig", "next_sig", n.cast("bigint").alias("n_chars"),
         F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third)).alias("edited"),
     )
-    both = edited.withColumn("edited_sig", signature(F.col("edited")))
+    both = with_signature(edited, "edited", "edited_sig")
     return both.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         packed(F.col("sig")).alias("fingerprint"), packed(F.col("edited_sig")).alias("edited_fingerprint"),
