@@ -44,3 +44,10 @@ def groups_for(rows: int, each: int) -> int:
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound the Arrow batches that Python workers hold: whole texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name

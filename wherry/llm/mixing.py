@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, groups_for, small_batches
+from wherry.llm.common import filled, free_name, groups_for, small_batches
 from wherry.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -211,20 +211,20 @@ def mixed_documents(docs: DataFrame, most: float = MOST, **options) -> DataFrame
     """
     spark = docs.sparkSession
     small_batches(spark)
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    kept, _ = materialize(numbered, "mix-input")
-    sizes = kept.select(F.col("_row").alias("row"), F.col("doc_id").cast("bigint"), "source", F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size"))
+    row, parts = free_name(docs, "_row"), free_name(docs, "_spans")
+    kept, _ = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
+    sizes = kept.select(F.col(row).alias("row"), F.col("doc_id").cast("bigint"), "source", F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size"))
     made = Plan(sizes, options.get("weights", WEIGHTS), options.get("share", SHARE), most, options.get("block", BLOCK_WORDS), options.get("seed", SEED))
-    spans = made.taken().groupBy("row").agg(F.collect_list(F.struct("skip", "words", "times")).alias("_spans"))
-    both = kept.join(spans, kept["_row"] == spans["row"]).drop("row", "_row")
+    spans = made.taken().groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("skip", "words", "times")).alias(parts))
+    both = kept.join(spans, row)
     copies = int(np.ceil(most))
 
     def expanded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = [_span_texts(t, [(int(s["skip"]), int(s["words"]), int(s["times"])) for s in spans], copies) for t, spans in zip(frame["text"], frame["_spans"])]
-            out = frame.drop(columns="_spans").assign(text=texts).explode("text")
+            texts = [_span_texts(t, [(int(s["skip"]), int(s["words"]), int(s["times"])) for s in found], copies) for t, found in zip(frame["text"], frame[parts])]
+            out = frame.drop(columns=parts).assign(text=texts).explode("text")
             if "n_chars" in out:
                 out["n_chars"] = out["text"].map(len)
             yield out
 
-    return both.select(*docs.columns, "_spans").mapInPandas(expanded, docs.schema)
+    return both.select(*docs.columns, parts).mapInPandas(expanded, docs.schema)
