@@ -71,7 +71,8 @@ class _Lines(HTMLParser):
     def _close(self, name: str) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == name:
-                if any(x[0] in BLOCKS or (x[1], x[2]) != (self.hidden, self.zone) for x in self.stack[k:]):
+                outer = self.stack[k - 1][2] if k else OPEN_LINE
+                if outer != self.zone or any(x[0] in BLOCKS for x in self.stack[k:]):
                     self.flush()
                 del self.stack[k:]
                 self._state()
@@ -108,7 +109,7 @@ class _Lines(HTMLParser):
                 zone = CHROME_LINE
             elif tag in ("article", "main") or role in ("main", "article") or known.get("itemprop") == "articleBody":
                 zone = MAIN_LINE
-        if zone != self.zone or hidden != self.hidden:
+        if zone != self.zone:
             self.flush()
         self.stack.append((tag, hidden, zone))
         self.hidden, self.zone = hidden, zone
