@@ -3,7 +3,8 @@
 P(grade <= k) = sigmoid(theta_k - w.x): one weight vector for all grades, thresholds kept in order by adding exponentials.
 The expected grade is the sum of the tails P(grade > k); selection uses the tail of the top grade.
 
-Grades from `labels`: 0 is low quality, 1 is good quality but toxic, 2 is good and not toxic.
+Grades from `labels`: 0 is toxic, 1 is low quality, 2 is neither. Toxic words add up without bound and so belong at an end; the shares of
+word shapes that mark low quality are bounded and fit between two thresholds.
 Features: presence of lower-cased words without their outer punctuation, shares of word shapes (runs of letter case,
 digits and the marks themselves), and the share of words equal to the word before; all hashed to DIMENSIONS weights.
 
@@ -35,9 +36,10 @@ DIMENSIONS = 1 << 18
 GRADES = 3
 SAMPLE = 8_000
 TRAIN_CHARS = 100_000
-MIN_DOCUMENTS = 10
+MIN_DOCUMENTS = 3
+LEAST_Z = 4.0
 THRESHOLD = 0.5
-SHAPE_SCALE = 4.0
+SHAPE_SCALE = 10.0
 CACHE_WORDS = 200_000
 EDGES = re.compile(r"^\W+|\W+$")
 REPEATED = 0
@@ -109,20 +111,35 @@ class OrdinalModel:
         return _sigmoid(scores[:, None] - self.thresholds[None, :])
 
 
-def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, steps: int = 150, rate: float = 0.1, penalty: float = 2e-4) -> OrdinalModel:
+def _telling(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Which features go along with some cut of the grades by at least LEAST_Z standard errors: the rest would only fit noise."""
+    n = len(grades)
+    sums = lambda x: np.bincount(cols, weights=x, minlength=DIMENSIONS)
+    mean = sums(vals) / n
+    spread = np.sqrt(np.maximum(sums(vals.astype(float) ** 2) / n - mean**2, 1e-12))
+    enough = np.bincount(cols, minlength=DIMENSIONS) >= MIN_DOCUMENTS
+    z = np.zeros(DIMENSIONS)
+    for k in range(GRADES - 1):
+        above = (grades > k).astype(float)
+        if above.std() > 0:
+            z = np.maximum(z, np.abs(sums(vals * above[rows]) / n - mean * above.mean()) / (spread * above.std()) * np.sqrt(n))
+    return enough & (z >= LEAST_Z)
+
+
+def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, steps: int = 300, rate: float = 0.1, penalty: float = 5e-4) -> OrdinalModel:
     """Maximum likelihood with an L2 penalty by full-batch Adam; the same input gives the same model."""
     present = np.unique(grades)
     if len(present) < 2:
         return OrdinalModel()
     lengths = np.array([len(x) for x in indices])
     rows, cols, vals = np.repeat(np.arange(len(grades)), lengths), np.concatenate(indices), np.concatenate(values)
-    common = np.bincount(cols, minlength=DIMENSIONS) >= min(MIN_DOCUMENTS, max(1, len(grades) // 20))
-    used = common[cols]
-    columns = np.flatnonzero(common)
+    columns = np.flatnonzero(_telling(rows, cols, vals, grades))
+    used = np.isin(cols, columns)
     place = np.zeros(DIMENSIONS, np.int64)
     place[columns] = np.arange(len(columns))
     rows, cols, vals = rows[used], place[cols[used]], vals[used]
     n, d, cuts = len(grades), len(columns), GRADES - 1
+    cols = cols.astype(np.int64)
     above = np.array([(grades > k).mean() for k in range(cuts)]).clip(0.5 / n, 1 - 0.5 / n)
     theta = np.log((1 - above) / above)
     params = np.concatenate([np.zeros(d), [theta[0]], np.log(np.maximum(np.diff(theta), 1e-2))])
@@ -149,7 +166,7 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
 
 def grade() -> Column:
     """0, 1 or 2 from the columns quality and toxic; null if either is."""
-    return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    return F.when(F.col("toxic") == 1, 0).when((F.col("quality") == 0) & (F.col("toxic") == 0), 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
 
 
 def _sample_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
