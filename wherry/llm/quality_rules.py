@@ -25,10 +25,11 @@ RULES: dict[str, str] = {
     "too_few_words": "n_words < 10",
     "repeated_windows": "100 * n_repeat_words > 20 * n_words",
     "symbol_ratio": "10 * n_symbols > n_words",
-    "duplicate_lines": "10 * n_dup_lines > 3 * n_lines",
+    "duplicate_lines": "2 * n_dup_lines > n_lines",
     "shouting": "10 * n_upper > 4 * word_chars",
     "exclamations": "5 * n_exclamations > n_words",
     "word_length": "word_chars > 40 * n_words",
+    "echoed_words": "4 * n_echoes > n_words",
 }
 BITS = {name: 1 << k for k, name in enumerate(RULES)}
 BASE_MASK = BITS["too_few_words"] | BITS["repeated_windows"]
@@ -86,6 +87,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         _n_repeat_words(F.col("_words")).alias("n_repeat_words"),
         F.regexp_count(body, F.lit(r"\p{Lu}")).cast("bigint").alias("n_upper"),
         (length - without("!")).alias("n_exclamations"),
+        F.size(let(F.col("_words"), lambda w: F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1))))).cast("bigint").alias("n_echoes"),
     )
 
 

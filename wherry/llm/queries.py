@@ -62,7 +62,7 @@ _QUALITY_RULES_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 s AS (
   SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM d),
 starts AS (SELECT r, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM s),
 windows AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS g FROM starts),
@@ -72,15 +72,16 @@ m AS (
   SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
          len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-         length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper, length(t) - length(replace(t, '!', '')) AS n_exclamations
+         length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper, length(t) - length(replace(t, '!', '')) AS n_exclamations,
+         len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_echoes
   FROM s LEFT JOIN covered USING (r)),
 f AS (
   SELECT *, CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
-    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
     + CASE WHEN 10 * n_upper > 4 * word_chars THEN 16 ELSE 0 END + CASE WHEN 5 * n_exclamations > n_words THEN 32 ELSE 0 END
-    + CASE WHEN word_chars > 40 * n_words THEN 64 ELSE 0 END AS bits
+    + CASE WHEN word_chars > 40 * n_words THEN 64 ELSE 0 END + CASE WHEN 4 * n_echoes > n_words THEN 128 ELSE 0 END AS bits
   FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper, n_exclamations,
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper, n_exclamations, n_echoes,
        CAST(bits AS BIGINT) AS failed_bits, bits & 3 <> 0 AS base_failed, bits = 0 AS kept
 FROM f
 """
