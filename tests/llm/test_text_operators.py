@@ -125,16 +125,16 @@ def test_packing_empty_and_clashing(nothing, clashing, edge):
 
 
 def test_classifier_on_held_out_labels(spark, sf_dir):
-    where = sf_dir.replace("sf0.001", "sf0.01")
+    where = sf_dir.replace("sf0.001", "sf0.1")
     docs, labels = spark.read.parquet(f"{where}/documents.parquet"), spark.read.parquet(f"{where}/labels.parquet")
     half = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2))
     model = quality_classifier.train(docs, labels.filter(half == 0))
     assert (np.diff(model.thresholds) > 0).all()
     held = quality_classifier.score(docs, model).join(labels.filter(half == 1), "doc_id").toPandas()
     clean = (held["quality"] == 1) & (held["toxic"] == 0)
-    assert held[clean]["kept"].mean() > 0.95
-    assert held[held["quality"] == 0]["kept"].mean() < 0.15
-    assert held[(held["quality"] == 1) & (held["toxic"] == 1)]["kept"].mean() < 0.35
+    assert held[clean]["kept"].mean() > 0.98
+    assert held[held["quality"] == 0]["kept"].mean() < 0.1
+    assert held[(held["quality"] == 1) & (held["toxic"] == 1)]["kept"].mean() < 0.1
 
 
 def test_fit_orders_thresholds_and_learns():
