@@ -48,6 +48,11 @@ def weighted(amount: Column, weight: Column) -> Column:
     return F.round(amount.cast("decimal(20,9)") * weight.cast("decimal(17,9)"), 9).cast("decimal(38,9)")
 
 
+def net_price(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
+    """Price less discount, exact: sums do not depend on their order."""
+    return F.col(price).cast("decimal(12,2)") * (F.lit(1).cast("decimal(4,2)") - F.col(discount).cast("decimal(4,2)"))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null where b is zero."""
     return F.when(b != 0, a / b)

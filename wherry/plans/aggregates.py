@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wherry.functions.calendar import ratio
+from wherry.functions.calendar import net_price, ratio
 from wherry.operators.versions import latest_by
 from wherry.plans.registry import query
 from wherry.sources.tables import load
 
 
-@query("""SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base, round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc,
+@query("""SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base, CAST(round(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))), 2) AS DOUBLE) AS sum_disc,
           round(avg(l_quantity), 6) AS avg_qty, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2""")
 def group_by_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "lineitem").filter("l_shipdate <= timestamp_ntz'1998-09-02'")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(
         F.sum("l_quantity").alias("sum_qty"), F.round(F.sum("l_extendedprice"), 2).alias("sum_base"),
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("sum_disc"), F.round(F.avg("l_quantity"), 6).alias("avg_qty"), F.count("*").alias("n"),
+        F.round(F.sum(net_price()), 2).cast("double").alias("sum_disc"), F.round(F.avg("l_quantity"), 6).alias("avg_qty"), F.count("*").alias("n"),
     )
 
 
@@ -101,9 +101,9 @@ def composite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").withColumn("key", key).select("o_orderkey", F.row_number().over(Window.partitionBy("key").orderBy("o_orderkey")).alias("n"))
 
 
-@query("""SELECT l_shipmode_like AS grain, round(sum(revenue), 2) AS revenue, round(sum(cost), 2) AS cost, CASE WHEN sum(cost) <> 0 THEN round(sum(revenue) / sum(cost), 6) END AS roas
-          FROM (SELECT l_returnflag AS l_shipmode_like, l_extendedprice AS revenue, CASE WHEN l_returnflag = 'N' THEN 0 ELSE l_extendedprice * l_discount END AS cost FROM lineitem) GROUP BY 1""")
+@query("""SELECT grain AS grain, round(sum(revenue), 2) AS revenue, CAST(round(sum(cost), 2) AS DOUBLE) AS cost, CASE WHEN sum(cost) <> 0 THEN round(sum(revenue) / CAST(sum(cost) AS DOUBLE), 6) END AS roas
+          FROM (SELECT l_returnflag AS grain, l_extendedprice AS revenue, CASE WHEN l_returnflag = 'N' THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) END AS cost FROM lineitem) GROUP BY 1""")
 def guarded_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cost = F.when(F.col("l_returnflag") == "N", 0.0).otherwise(F.col("l_extendedprice") * F.col("l_discount"))
+    cost = F.when(F.col("l_returnflag") == "N", F.lit(0)).otherwise(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)"))
     sums = load(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("grain")).agg(F.sum("l_extendedprice").alias("r"), F.sum(cost).alias("c"))
-    return sums.select("grain", F.round("r", 2).alias("revenue"), F.round("c", 2).alias("cost"), F.round(ratio(F.col("r"), F.col("c")), 6).alias("roas"))
+    return sums.select("grain", F.round("r", 2).alias("revenue"), F.round("c", 2).cast("double").alias("cost"), F.round(ratio(F.col("r"), F.col("c").cast("double")), 6).alias("roas"))

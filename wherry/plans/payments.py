@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wherry.functions.calendar import net_price
 from wherry.plans.registry import query
 from wherry.sources.tables import load
 
@@ -48,14 +49,14 @@ def payment_plan_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT p_brand AS brand, string_split(p_type, ' ')[1] AS category, count(DISTINCT l_orderkey) AS n_orders, CAST(sum(l_quantity) AS BIGINT) AS units, round(sum(l_extendedprice * (1 - l_discount)), 2) AS gross,
-  round(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice * (1 - l_discount) ELSE 0 END), 2) AS refunds FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
+@query("""SELECT p_brand AS brand, string_split(p_type, ' ')[1] AS category, count(DISTINCT l_orderkey) AS n_orders, CAST(sum(l_quantity) AS BIGINT) AS units, CAST(round(sum(net), 2) AS DOUBLE) AS gross,
+  CAST(round(sum(CASE WHEN l_returnflag = 'R' THEN net ELSE 0 END), 2) AS DOUBLE) AS refunds FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS net FROM lineitem) JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
 def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    net = net_price()
     rows = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    refund = F.when(F.col("l_returnflag") == "R", net).otherwise(0.0)
+    refund = F.when(F.col("l_returnflag") == "R", net).otherwise(F.lit(0))
     return rows.groupBy(F.col("p_brand").alias("brand"), F.split_part("p_type", F.lit(" "), F.lit(1)).alias("category")).agg(
-        F.countDistinct("l_orderkey").alias("n_orders"), F.sum("l_quantity").cast("bigint").alias("units"), F.round(F.sum(net), 2).alias("gross"), F.round(F.sum(refund), 2).alias("refunds")
+        F.countDistinct("l_orderkey").alias("n_orders"), F.sum("l_quantity").cast("bigint").alias("units"), F.round(F.sum(net), 2).cast("double").alias("gross"), F.round(F.sum(refund), 2).cast("double").alias("refunds")
     )
 
 
