@@ -8,7 +8,8 @@ given the totals: each shard walks a binary tree of splits from the root, every
 its node, which also gives the slot number where the shard starts. No shard needs another's result.
 
 The driver holds one row per source (name, size, blocks); documents, blocks and slots stay on the executors. A hot source is
-many groups and its blocks are joined by (source, block), so no key is hot.
+many groups and its blocks are joined by (source, block), so no key is hot. Only the source table is broadcast, and only up to
+BROADCAST_SOURCES rows; all other joins are merged.
 
 Defined cases: a null text has size 0 and is never taken; null is a source of its own, after all others; equal rows are
 documents of their own; empty tables give empty results; extra columns are ignored by `mix_counts`, kept by `mixed_documents`.
@@ -131,7 +132,7 @@ class Plan:
         """row, source_index, block, skip (words of the document before it) and words: the parts of documents in blocks."""
         before = Window.partitionBy("source_index", "group").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
         placed = self.docs.filter("size > 0").withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-        placed = placed.join(self.groups, ["source_index", "group"]).withColumn("stop", F.col("start") + F.col("size"))
+        placed = placed.join(self.groups.hint("merge"), ["source_index", "group"]).withColumn("stop", F.col("start") + F.col("size"))
         b = self.block
         each = placed.withColumn("k", F.explode(F.expr(f"sequence(start div {b}, (stop - 1) div {b})")))
         return each.select(
@@ -164,7 +165,7 @@ class Plan:
     def taken(self) -> DataFrame:
         """row, skip, words, times: fragments that the mix takes."""
         times = self.slots().groupBy("source_index", "block").agg(F.count("*").alias("times"))
-        return self.fragments().join(times, ["source_index", "block"]).select("row", "skip", "words", "times")
+        return self.fragments().join(times.hint("merge"), ["source_index", "block"]).select("row", "skip", "words", "times")
 
 
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK_WORDS, seed: int = SEED) -> Plan:
@@ -175,14 +176,14 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target and taken (words the mix takes, repeats counted) for every row of docs."""
     made = plan(docs, **options)
     words = made.taken().groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    found = made.docs.join(words, "row", "left")
+    found = made.docs.join(words.hint("merge"), "row", "left")
     return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
 def shard_contents(docs: DataFrame, **options) -> DataFrame:
     """shard, source_index, slot, row, skip, words: what stands in each slot of each output shard, blocks joined by index."""
     made = plan(docs, **options)
-    return made.slots().join(made.fragments(), ["source_index", "block"]).select("shard", "source_index", "slot", "row", "skip", "words")
+    return made.slots().join(made.fragments().hint("merge"), ["source_index", "block"]).select("shard", "source_index", "slot", "row", "skip", "words")
 
 
 def _span_texts(text: str, spans: list[tuple[int, int, int]], most: int) -> list[str]:
@@ -216,7 +217,7 @@ def mixed_documents(docs: DataFrame, most: float = MOST, **options) -> DataFrame
     sizes = kept.select(F.col(row).alias("row"), F.col("doc_id").cast("bigint"), "source", F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size"))
     made = Plan(sizes, options.get("weights", WEIGHTS), options.get("share", SHARE), most, options.get("block", BLOCK_WORDS), options.get("seed", SEED))
     spans = made.taken().groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("skip", "words", "times")).alias(parts))
-    both = kept.join(spans, row)
+    both = kept.join(spans.hint("merge"), row)
     copies = int(np.ceil(most))
 
     def expanded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
