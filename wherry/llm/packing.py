@@ -13,8 +13,11 @@ if doc_id repeats or is null; empty tables give empty results; extra columns are
 
 from __future__ import annotations
 
+import json
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,12 +31,27 @@ CAPACITY = 4096
 END_ID = 1
 MAX_OPEN = 2048
 DOCS_PER_TASK = 20_000
-CACHE_WORDS = 200_000
-ENCODE_AT_ONCE = 2048
+CACHE_WORDS = 400_000
+ENCODE_AT_ONCE = 4096
+#: ASCII marks that are never part of a contraction.
+MARKS = ".,;:!?#*$%&|"
+#: Letters before this one are single code points that normalize to themselves and have one lower case.
+LAST = "\u0130"
+
+
+def byte_letters() -> dict[int, str]:
+    """What byte-level vocabularies write for each byte: printable ones stand for themselves, the rest are counted up from 256."""
+    printable = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(rest)) for b in range(256)}
 
 
 class WordEncoder:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space."""
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space.
+
+    A part that is letters and then marks is two pre-tokens, and its letters, lower-cased, need neither normalizing nor splitting:
+    they go to the merges directly, once for all ways of writing them. Every other part goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -42,25 +60,61 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in x.ids) for x in found]
-
-    def _learn(self, parts: list[bytes]) -> None:
-        new = list({p for p in parts if p not in self.known})
+        self.letters: dict[str, bytes] = {}
+        self.merges = Tokenizer(self.tokenizer.model) if self._is_plain() else None
+        self.as_written = byte_letters()
+
+    def _is_plain(self) -> bool:
+        """Whether letters and marks are pre-tokens of their own, lower-cased, and bytes are written as byte_letters says."""
+        made = json.loads(self.tokenizer.to_str())
+        kinds = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+        split, level = ((made["pre_tokenizer"] or {}).get("pretokenizers", []) + [{}, {}])[:2]
+        pattern = split.get("pattern", {}).get("Regex", "")
+        apart = all(x in pattern.split("|") for x in (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+")) and all(x.startswith(("'", "[")) for x in pattern.split("|"))
+        return kinds == ["NFC", "Replace", "Lowercase"] and apart and level.get("type") == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
+
+    def _whole(self, text: str) -> bytes:
+        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, parts: set[bytes]) -> None:
+        split: list[tuple[bytes, str, str]] = []
+        for part in parts:
+            text = part.decode()
+            word = text.rstrip(MARKS)
+            if self.merges is not None and word.isalpha() and max(word) < LAST:
+                split.append((part, word.lower(), text[len(word) :]))
+            else:
+                self.known[part] = self._whole(text)
+        if len(self.letters) > CACHE_WORDS:
+            self.letters = {}
+        new = list({w for _, w, _ in split}.difference(self.letters))
         for k in range(0, len(new), ENCODE_AT_ONCE):
             some = new[k : k + ENCODE_AT_ONCE]
-            self.known.update(zip(some, self._whole([p.decode() for p in some])))
-
-    def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._whole([text])[0]
-        parts = text.encode().split()
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        self._learn(parts)
-        return b"".join(map(self.known.__getitem__, parts))
+            written = [w if w.isascii() else w.encode().decode("latin-1").translate(self.as_written) for w in some]
+            found = self.merges.encode_batch_fast(written, add_special_tokens=False)
+            self.letters.update(zip(some, [as_bytes(x.ids) for x in found]))
+        for marks in {m for _, _, m in split if m and m not in self.letters}:
+            self.letters[marks] = self._whole(marks)
+        letters = self.letters
+        for part, word, marks in split:
+            self.known[part] = letters[word] + letters[marks] if marks else letters[word]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if any(s in t for s in self.special) else t.encode().split() for t in texts]
+        words = set().union(*(p for p in split if p is not None))
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, new = {}, words
+        self._learn(new)
+        known = self.known.__getitem__
+        return [self._whole(t) if p is None else b"".join(map(known, p)) for t, p in zip(texts, split)]
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -123,8 +177,8 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY,
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for k, part in enumerate(cut(encode(text) + end, capacity)):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
+                for k, part in enumerate(cut(ids + end, capacity)):
                     rows.append((doc_id, k, k * capacity, len(part) // 4, zlib.crc32(part), part))
             columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             if with_ids:
@@ -138,7 +192,6 @@ def pack(pieces: DataFrame, tasks: int, capacity: int = CAPACITY, max_open: int
     """pieces with sequence_id and offset. Each task packs its share in a pseudorandom order that does not change."""
     order = F.xxhash64("doc_id", "piece")
     placed = pieces.withColumn("_order", order).repartition(tasks, "doc_id", "piece").sortWithinPartitions("_order", "doc_id", "piece", "length", "ids_crc32")
-
     names = pieces.columns
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
