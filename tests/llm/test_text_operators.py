@@ -101,6 +101,14 @@ def test_packing_gives_ids_back(edge):
     assert ids == _tokenizer().encode(EDGE[-1][1], add_special_tokens=False).ids + [1]
 
 
+def test_word_encoder_equals_library_on_random_texts():
+    encoder, r = packing.WordEncoder(VOCABULARY), random.Random(4)
+    assert encoder.merges is not None
+    odd = [chr(c) for c in range(0x21, 0x250)] + ["\u0301", "İ", "ς", "Σ", "你", "\u00a0", "\u2028", "<|endoftext|>", "'s", "'LL"]
+    texts = ["".join(r.choice(odd) if r.random() < 0.4 else r.choice("abcXYZéÉß .,!\n") for _ in range(r.randrange(14))) for _ in range(4000)]
+    assert [list(memoryview(x).cast("I")) for x in encoder.encode(texts)] == [e.ids for e in _tokenizer().encode_batch(texts, add_special_tokens=False)]
+
+
 def test_open_bins_are_bounded_and_best_fit():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 4)] == [(0, 0), (1, 0), (1, 7), (0, 6)]
