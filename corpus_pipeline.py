@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wherry.llm import mixing, packing, quality_classifier, quality_rules, simhash
+from wherry.llm import mixing, near_copies, packing, quality_classifier, quality_rules, simhash
 from wherry.llm.common import documents, table
 from wherry.llm.queries import PACKING_VOCABULARY
 from wherry.session import materialize
@@ -33,6 +33,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs)
 
 
+def shingle_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles: the near copies beyond three SimHash bits."""
+    return near_copies.keep_one(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix: what it takes twice stands twice, what it leaves out is gone."""
     return mixing.mixed_documents(docs)
@@ -47,6 +52,7 @@ STAGES = [
     ("quality_rules", quality_rules_stage),
     ("quality_classifier", quality_classifier_stage),
     ("near_dedup", near_dedup_stage),
+    ("shingle_dedup", shingle_dedup_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]

@@ -1,0 +1,77 @@
+"""Near copies against all pairs by hand."""
+
+import random
+
+import pytest
+from test_text_operators import DOCS, WORD, edge, nothing  # noqa: F401
+
+import corpus_pipeline
+from wherry.llm import near_copies, simhash
+
+
+def grams_by_hand(text):
+    words = [w.encode().lower() for w in WORD.findall(text or "")]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept_by_hand(rows):
+    sets, parent = [grams_by_hand(t) for _, t in rows], list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return sorted({rows[root(i)][0] for i in range(len(rows))})
+
+
+def varied(seed):
+    """Texts of a few groups, with up to eight words of 200 changed."""
+    r = random.Random(seed)
+    bases = [[f"w{r.randrange(5000)}" for _ in range(200)] for _ in range(4)]
+    out = []
+    for k in range(160):
+        words = list(r.choice(bases))
+        for _ in range(r.randrange(9)):
+            words[r.randrange(200)] = f"x{r.randrange(5000)}"
+        out.append((k, " ".join(words)))
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in rows], DOCS)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_equal_all_pairs(spark, seed):
+    rows = varied(seed)
+    got = near_copies.keep_one(frame(spark, rows))
+    assert sorted(r["doc_id"] for r in got.collect()) == kept_by_hand(rows)
+
+
+def test_documents_equal_all_pairs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == kept_by_hand(rows)
+
+
+def test_the_pipeline_drops_copies_beyond_three_bits(spark, sf_dir):
+    words = [f"v{k}" for k in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join(f"x{k}" if k in (50, 90, 130, 170) else w for k, w in enumerate(words)))]
+    assert (simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])).bit_count() > 3
+    at = frame(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if "dedup" in name:
+            at = stage(spark, at, sf_dir)
+    assert [r["doc_id"] for r in at.collect()] == [1]
+
+
+def test_near_copies_defined_cases(spark, edge, nothing):  # noqa: F811
+    ids = [r["doc_id"] for r in near_copies.keep_one(edge).collect()]
+    assert sorted(ids, key=repr) == sorted([1, 4, 5, 6, 7, 8, None, 9, 10], key=repr)
+    assert near_copies.keep_one(nothing).count() == 0

@@ -1,0 +1,137 @@
+"""Near copies by the Jaccard likeness of five-word shingles: MinHash bands name candidates, the exact likeness confirms them.
+
+A text's set of shingles gets BANDS keys of BAND_ROWS minima each; equal sets are one row before any bucket is built. Two sets of
+likeness 0.8 share a key with probability 0.9999. The pairs of a bucket are taken in rounds: some pivots of every bucket
+against all its later sets, then components of what was confirmed, then more pivots. A pair whose ends are linked already, or whose sizes
+exclude the likeness, is not compared; a bucket is done when it is one component or each of its sets was a pivot. So every pair of a bucket
+is compared or implied, and a large group of near copies costs a few times its rows. A bucket of unlike sets costs its pairs.
+
+What is shuffled: the keys (16 bytes a band), the texts that share a key, and the two shingle sets of each compared pair.
+
+Defined cases: a null text counts as empty; texts without words are copies of each other; a text of fewer words than a shingle is one
+shingle; repeated rows are copies; a null doc_id takes part but stays only if its group has no other; empty tables give empty results.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from wherry.llm.common import filled, small_batches
+from wherry.llm.simhash import only, shingle_hashes
+from wherry.operators.components import connected_components
+from wherry.session import materialize
+
+WORDS = 5
+LIKENESS = 0.8
+BANDS = 32
+BAND_ROWS = 6
+#: Pivots of a bucket in the first round, and by how much they grow from round to round.
+PIVOTS, MORE = 1, 2
+FACTORS = np.random.default_rng(9).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(grams: np.ndarray) -> np.ndarray:
+    """BANDS 64-bit keys of a set of shingle hashes; none for the empty set."""
+    if not len(grams):
+        return np.zeros(0, dtype=np.int64)
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for k in range(0, len(grams), 1024):
+        x = FACTORS[:, None] * grams[None, k : k + 1024]
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        least = np.minimum(least, x.min(axis=1))
+    rows = np.ascontiguousarray(least.reshape(BANDS, BAND_ROWS))
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], dtype=np.uint64).view(np.int64)
+
+
+def _set(text: str, words: int) -> tuple[int, np.ndarray]:
+    """The hash of a text's set of shingles, and the set."""
+    grams = np.unique(shingle_hashes(text, words))
+    return int(np.array([xxhash.xxh64_intdigest(grams.tobytes())], dtype=np.uint64).view(np.int64)[0]), grams
+
+
+def _signed(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, text_hash, s (hash of the set), n (its size) and keys per row of docs."""
+    kinds = {"doc_id": pa.int64(), "text_hash": pa.int64(), "s": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64())}
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set(t, words) for t in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array([s for s, _ in sets], pa.int64()), pa.array([len(g) for _, g in sets], pa.int64()), pa.array([band_keys(g) for _, g in sets], kinds["keys"])]
+            yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+    rows = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(made, "doc_id bigint, text_hash bigint, s bigint, n bigint, keys array<bigint>")
+
+
+def _grams(texts: DataFrame, words: int) -> DataFrame:
+    """s and grams (the set) per row of texts."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set(t, words) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in sets], pa.int64()), pa.array([g.tobytes() for _, g in sets], pa.binary())], names=["s", "grams"])
+
+    return texts.select("text").mapInArrow(made, "s bigint, grams binary").dropDuplicates(["s"])
+
+
+def _alike(likeness: float):
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("a"), batch.column("b")):
+                x, y = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= likeness * (len(x) + len(y) - both))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return found
+
+
+def links(sets: DataFrame, docs: DataFrame, words: int, likeness: float) -> DataFrame | None:
+    """(node, component) of the sets (s, n, keys, rep) that are linked to another; None if no two share a key."""
+    keyed = sets.select("s", "n", F.explode("keys").alias("key"))
+    by_key = Window.partitionBy("key")
+    many = keyed.withColumn("m", F.count("*").over(by_key)).withColumn("at", F.row_number().over(by_key.orderBy("s"))).filter("m > 1")
+    buckets, _ = materialize(many, "buckets")
+    if buckets.isEmpty():
+        return None
+    named = sets.join(buckets.select("s").distinct(), "s", "left_semi").select(F.col("rep.text_hash").alias("_hash"))
+    texts = docs.select(filled().alias("text")).withColumn("_hash", F.xxhash64("text")).join(named, "_hash", "left_semi")
+    grams, _ = materialize(_grams(texts, words), "grams")
+    confirmed = labels = None
+    low, high = 0, PIVOTS
+    while True:
+        rows = buckets.withColumn("c", F.col("s"))
+        if labels is not None:
+            rows = buckets.join(labels, buckets["s"] == labels["node"], "left").select(buckets["*"], F.coalesce("component", "s").alias("c"))
+        left = rows.filter(F.col("m") > low + 1)
+        pivots = left.filter((F.col("at") > low) & (F.col("at") <= high)).select("key", F.col("s").alias("u"), F.col("n").alias("nu"), F.col("at").alias("pivot"), F.col("c").alias("cu"))
+        pairs = left.join(pivots, "key").filter((F.col("at") > F.col("pivot")) & (F.col("c") != F.col("cu")))
+        pairs = pairs.filter(F.least("n", "nu") >= likeness * F.greatest("n", "nu")).select("u", F.col("s").alias("v")).distinct()
+        sides = [grams.select(F.col("s").alias(k), F.col("grams").alias(g)) for k, g in (("u", "a"), ("v", "b"))]
+        found, _ = materialize(pairs.join(sides[0], "u").join(sides[1], "v").mapInArrow(_alike(likeness), "u bigint, v bigint"), "alike")
+        confirmed = found if confirmed is None else confirmed.unionByName(found)
+        labels, _ = materialize(connected_components(confirmed), "labels")
+        low, high = high, high * MORE
+        if buckets.filter(F.col("m") > low + 1).isEmpty():
+            return labels
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, likeness: float = LIKENESS) -> DataFrame:
+    """The document with the smallest doc_id of each group of near copies, with its own columns; of equal rows one stays."""
+    small_batches(docs.sparkSession, 256)
+    rows, _ = materialize(_signed(docs, words), "shingles")
+    least = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("text_hash"))
+    sets, _ = materialize(rows.groupBy("s").agg(F.min(least).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "sets")
+    labels = links(sets, docs, words, likeness)
+    reps = sets.select("s", "rep")
+    if labels is not None:
+        reps = reps.join(labels, reps["s"] == labels["node"], "left").groupBy(F.coalesce("component", "s").alias("c")).agg(F.min("rep").alias("rep"))
+    return only(docs, reps.select(F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash")))

@@ -37,18 +37,25 @@ DIRECT = 1024
 ALL = (1 << 64) - 1
 
 
-def fingerprint(text: str | None) -> int:
-    """The 64-bit SimHash of a text's three-word shingles (all its words if fewer; zero if none)."""
+def shingle_hashes(text: str | None, words: int = SHINGLE) -> np.ndarray:
+    """64-bit hashes of a text's shingles of so many words, one per place (of all its words if fewer; empty if none)."""
     parts = (text or "").encode().lower().split()  # bytes: only A-Z are lowered, only ASCII white space separates
     if not parts:
-        return 0
+        return np.zeros(0, dtype="<u8")
     ends = list(accumulate(map(len, parts), lambda a, n: a + 1 + n))
     joined = b" ".join(parts)
-    if len(parts) <= SHINGLE:
-        return xxhash.xxh64_intdigest(joined, SEED)
     digest = xxhash.xxh64_intdigest
+    if len(parts) <= words:
+        return np.array([digest(joined, SEED)], dtype="<u8")
     starts = [0, *(e + 1 for e in ends)]
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1 :])), dtype="<u8", count=len(parts) - SHINGLE + 1)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :])), dtype="<u8", count=len(parts) - words + 1)
+
+
+def fingerprint(text: str | None) -> int:
+    """The 64-bit SimHash of a text's three-word shingles (all its words if fewer; zero if none)."""
+    hashes = shingle_hashes(text)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for k in range(0, len(hashes), 65536):
         part = hashes[k : k + 65536]
@@ -226,10 +233,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, with its own columns; of equal rows one stays."""
-    rows, _ = materialize(fingerprints(docs), "simhash")
-    kept = fingerprint_components(rows).select(F.col("rep_id").alias("_id"), F.col("rep_hash").alias("_hash")).distinct()
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of docs that kept (_id, _hash of the text) names, with their own columns; of equal rows one stays."""
     keyed = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64(filled()).alias("_hash"))
     same = (keyed["_id"].eqNullSafe(kept["_id"])) & (keyed["_hash"] == kept["_hash"])
     return keyed.join(kept, same, "left_semi").dropDuplicates(["_id", "_hash"]).select("_doc.*")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The document with the smallest doc_id of each component, with its own columns; of equal rows one stays."""
+    rows, _ = materialize(fingerprints(docs), "simhash")
+    return only(docs, fingerprint_components(rows).select(F.col("rep_id").alias("_id"), F.col("rep_hash").alias("_hash")).distinct())
