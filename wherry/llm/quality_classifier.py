@@ -51,12 +51,12 @@ def _slot(kind: str, name: str) -> int:
 
 def shape(word: str) -> str:
     """X for capitals, x for other letters, 0 for digits, marks as they are; runs of one kind are one."""
-    out = ""
-    for ch in word[:64]:
+    out = [""]
+    for ch in word:
         kind = "X" if ch.isupper() else "x" if ch.isalpha() else "0" if ch.isdigit() else ch
-        if not out.endswith(kind):
-            out += kind
-    return out
+        if out[-1] != kind:
+            out.append(kind)
+    return "".join(out)
 
 
 class Hasher:
