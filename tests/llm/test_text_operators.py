@@ -10,11 +10,12 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from wherry.llm import fingerprint, html_extract, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, token_counts
+from wherry.llm import common, fingerprint, html_extract, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -106,7 +107,25 @@ def test_word_encoder_equals_library_on_random_texts():
     assert encoder.merges is not None
     odd = [chr(c) for c in range(0x21, 0x250)] + ["\u0301", "İ", "ς", "Σ", "你", "\u00a0", "\u2028", "<|endoftext|>", "'s", "'LL"]
     texts = ["".join(r.choice(odd) if r.random() < 0.4 else r.choice("abcXYZéÉß .,!\n") for _ in range(r.randrange(14))) for _ in range(4000)]
-    assert [list(memoryview(x).cast("I")) for x in encoder.encode(texts)] == [e.ids for e in _tokenizer().encode_batch(texts, add_special_tokens=False)]
+    want = [[*e.ids, 1] for e in _tokenizer().encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # the second time every part is known
+        assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert [x.tolist() for k in range(0, 4000, 7) for x in encoder.encode(pa.array(texts)[k : k + 7])] == want
+    assert encoder.encode(pa.array([], pa.string())) == [] and encoder.encode(pa.array([""]))[0].tolist() == [1]
+
+
+def test_word_encoder_starts_its_cache_anew(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    encoder, texts = packing.WordEncoder(VOCABULARY), ["one two three", "Four, five! six", "one seven. 8"]
+    for _ in range(3):
+        assert [x.tolist() for t in texts for x in encoder.encode(pa.array([t]))] == [[*_tokenizer().encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_slices_are_bounded_by_bytes_and_lose_no_row():
+    texts = ["a" * n for n in (3, 9, 30, 0, 1, 5, 2)] + [None, "x"]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(9)), "text": texts})
+    found = [x.column("n").to_pylist() for x in common.slices([batch, batch.slice(9)], "text", 10)]
+    assert found == [[0], [1], [2], [3, 4, 5, 6, 7, 8]]
 
 
 def test_open_bins_are_bounded_and_best_fit():

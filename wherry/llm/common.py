@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of text that a Python worker takes at once, unless a single text is longer. Spark bounds what it sends by bytes, too.
+SLICE_BYTES = 8 << 20
+
 #: The characters that separate words: space, and tab to carriage return.
 WORD_SPACE = "\x20\t\n\x0b\x0c\r"
 WORD_SPACE_REGEX = r"[\x20\x09-\x0D]+"
@@ -41,9 +48,15 @@ def groups_for(rows: int, each: int) -> int:
     return max(1, math.ceil(rows / each))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the Arrow batches that Python workers hold: whole texts can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """batches in slices of consecutive rows of at most `most` bytes of `column`, or of one row."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def free_name(df: DataFrame, name: str) -> str:

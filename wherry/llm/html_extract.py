@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import small_batches
+from wherry.llm.common import slices
 
 #: Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -188,7 +188,7 @@ EDGE = f"{PAGE}, task bigint, place int, zones array<int>, lines array<string>,
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
+    for batch in slices(batches, "html"):
         yield from zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "html")))
 
 
@@ -255,7 +255,6 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and n_shared_lines (lines that differencing deleted at first) per row of pages."""
     spark = pages.sparkSession
-    small_batches(spark, 256)
     pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
     url = F.coalesce("url", F.lit(""))
     keyed = pages.select(

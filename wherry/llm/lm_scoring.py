@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, groups_for, small_batches
+from wherry.llm.common import filled, groups_for
 
 BACKOFF = 0.4
 UNSEEN = 0.5
@@ -138,7 +138,6 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str
 def score_documents(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     """doc_id, n_words, log_probability and perplexity for every row of docs."""
     spark = docs.sparkSession
-    small_batches(spark)
     rows = docs.count()
     chunks, partitions = groups_for(rows, chunk_docs), groups_for(rows, TABLE_DOCS)
     spread = max(1, chunks)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, free_name, groups_for, small_batches
+from wherry.llm.common import filled, free_name, groups_for
 from wherry.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -211,7 +211,6 @@ def mixed_documents(docs: DataFrame, most: float = MOST, **options) -> DataFrame
     A document taken whole keeps its text; of one taken in part, text and n_chars (if docs has it) are those of the parts.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     row, parts = free_name(docs, "_row"), free_name(docs, "_spans")
     kept, _ = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
     sizes = kept.select(F.col(row).alias("row"), F.col("doc_id").cast("bigint"), "source", F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size"))

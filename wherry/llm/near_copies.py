@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, small_batches
+from wherry.llm.common import filled, slices
 from wherry.llm.simhash import only, shingle_hashes
 from wherry.operators.components import connected_components
 from wherry.session import materialize
@@ -61,7 +61,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
     kinds = {"doc_id": pa.int64(), "text_hash": pa.int64(), "s": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64())}
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = [_set(t, words) for t in batch.column("text").to_pylist()]
             columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array([s for s, _ in sets], pa.int64()), pa.array([len(g) for _, g in sets], pa.int64()), pa.array([band_keys(g) for _, g in sets], kinds["keys"])]
             yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
@@ -74,7 +74,7 @@ def _grams(texts: DataFrame, words: int) -> DataFrame:
     """s and grams (the set) per row of texts."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = [_set(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in sets], pa.int64()), pa.array([g.tobytes() for _, g in sets], pa.binary())], names=["s", "grams"])
 
@@ -126,7 +126,6 @@ def links(sets: DataFrame, docs: DataFrame, words: int, likeness: float) -> Data
 
 def keep_one(docs: DataFrame, words: int = WORDS, likeness: float = LIKENESS) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies, with its own columns; of equal rows one stays."""
-    small_batches(docs.sparkSession, 256)
     rows, _ = materialize(_signed(docs, words), "shingles")
     least = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("text_hash"))
     sets, _ = materialize(rows.groupBy("s").agg(F.min(least).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "sets")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, small_batches
+from wherry.llm.common import filled, slices
 
 DIMENSIONS = 1 << 18
 GRADES = 3
@@ -181,7 +181,6 @@ def _sample_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -> OrdinalModel:
     """A model fitted on at most `sample` labelled documents."""
-    small_batches(docs.sparkSession)
     graded = labels.select(F.col("doc_id").cast("bigint"), grade().alias("grade")).filter("doc_id is not null and grade is not null")
     chosen = graded.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).filter(F.length("text") <= TRAIN_CHARS)
@@ -195,12 +194,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -
 
 def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, expected_grade, top_probability and kept for every row of docs."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in slices(batches, "text"):
             tails = known.tails(np.array([known.score(t, _HASHER) for t in batch.column("text").to_pylist()], dtype=float))
             columns = [batch.column("doc_id"), pa.array(tails.sum(axis=1).round(6)), pa.array(tails[:, -1].round(6))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "expected_grade", "top_probability"])
@@ -212,13 +210,12 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) ->
 
 def filter_documents(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose top grade is probable enough, with their own columns."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in slices(batches, "text"):
             tails = known.tails(np.array([known.score(t or "", _HASHER) for t in batch.column(place).to_pylist()], dtype=float))
             yield batch.filter(pa.array(tails[:, -1].round(6) >= threshold))
 

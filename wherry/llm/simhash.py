@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, small_batches
+from wherry.llm.common import filled, slices
 from wherry.operators.components import connected_components
 from wherry.session import materialize
 
@@ -68,14 +68,13 @@ def signed(x: int) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text"):
         found = pa.array([signed(fingerprint(t)) for t in batch.column("text").to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), found], names=["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, fp) per row of docs; fp is the fingerprint as a signed long."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     return rows.mapInArrow(_fingerprints, "doc_id bigint, text_hash bigint, fp bigint")
 

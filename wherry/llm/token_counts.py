@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, small_batches
+from wherry.llm.common import filled, slices
 
 LIMIT = 4096
 CACHE_PRETOKENS = 300_000
@@ -78,11 +78,9 @@ def counter(path: str) -> PieceCounter:
 
 def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of docs."""
-    small_batches(docs.sparkSession)
-
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(model).count
-        for batch in batches:
+        for batch in slices(batches, "text"):
             n = pa.array([count(t) for t in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), n], names=["doc_id", "n_bytes", "n_tokens"])
 
