@@ -12,10 +12,13 @@ Repeated windows are compared by 64-bit hashes of their five words.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wherry.llm.common import WORD_SPACE, filled, let, words
+from wherry.session import materialize
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -136,6 +139,22 @@ def quality_ledger(docs: DataFrame, policy: str = CURRENT_POLICY) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, policy: str = CURRENT_POLICY) -> DataFrame:
-    """The documents that the policy keeps, with their own columns."""
+    """The documents that the policy keeps, with their own columns.
+
+    The failed bits go through an explode of one element: a filter is not pushed below it, so no rule is evaluated a second time.
+    """
     plain = docs.select(F.struct("*").alias("_doc"), F.col("text"))
-    return apply_policy(ledger(plain), policy).filter("kept").select("_doc.*")
+    once = ledger(plain).select("_doc", F.explode(F.array("failed_bits")).alias("failed_bits"))
+    return apply_policy(once, policy).filter("kept").select("_doc.*")
+
+
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger (doc_id, measurements, failed bits) written once to the shared folder; policies and ablations read it, not the texts."""
+    return materialize(ledger(docs.select("doc_id", "text")).drop("text"), "rule-ledger")[0]
+
+
+def policy_ablations(docs: DataFrame) -> DataFrame:
+    """The ablations of every policy version, from one stored ledger: policy, rule, n_failed, n_failed_alone, n_kept_without."""
+    stored = stored_ledger(docs)
+    each = [ablations(stored, policy).select(F.lit(policy).alias("policy"), "*") for policy in POLICIES]
+    return reduce(DataFrame.unionByName, each)
