@@ -1,18 +1,22 @@
 """Mixing sources to target weights by blocks, slots and index permutations.
 
-Words are packed into blocks of BLOCK_WORDS: the documents of a source are dealt by hash to groups of about GROUP_WORDS words,
-laid end to end within a group, and cut. A source with n blocks and a target of t words gets s slots, s being the target
-in blocks; slot j takes block perm(j mod n), where perm is a keyed Feistel permutation of the source and the pass j div n. Targets
-stop at twice the size, so no block is taken more than twice. The slots are dealt to output shards by multinomial draws
-given the totals: each shard walks a binary tree of splits from the root, every split a multivariate hypergeometric draw seeded by
-its node, which also gives the slot number where the shard starts. No shard needs another's result.
+The documents of a source are dealt by hash to groups of about GROUP_WORDS words, laid end to end within a group, the groups end to end,
+and the whole is cut into blocks of BLOCK_WORDS words: all are full but the last. A source with n blocks and a target of t words gets the
+slots whose blocks make up t words; slot j takes block perm(j mod n), where perm is a keyed Feistel permutation of the source and the
+pass j div n, and of the block of the last slot only the words that are still missing are taken. So every source takes its target to the
+word. Targets stop at twice the size, so no word is taken more than twice. The slots are dealt to output shards by multinomial draws: each
+shard walks a binary tree of splits from the root, every split a binomial draw per source seeded by its node, which also gives the slot number
+where the shard starts. No shard needs another's result; shards have SHARD_SLOTS slots in the mean, not each.
 
-The driver holds one row per source (name, size, blocks); documents, blocks and slots stay on the executors. A hot source is
-many groups and its blocks are joined by (source, block), so no key is hot. Only the source table is broadcast, and only up to
-BROADCAST_SOURCES rows; all other joins are merged.
+A row is known by two hashes of its values and, among equal rows, a number; equal rows are counted before the shuffle. So the mix does not
+depend on how the table is split into files or tasks. A hot source is many groups and its blocks are joined by (source, block), so no key is hot.
+
+The driver holds one row per source (name, size, target), as does each task that draws; documents, blocks and slots stay on the executors.
+Only the source table is broadcast, and only up to BROADCAST_SOURCES rows; all other joins are merged.
 
 Defined cases: a null text has size 0 and is never taken; null is a source of its own, after all others; equal rows are
-documents of their own; empty tables give empty results; extra columns are ignored by `mix_counts`, kept by `mixed_documents`.
+documents of their own; a very long text is parts of many blocks; empty tables give empty results; extra columns are ignored by
+`mix_counts`, kept by `mixed_documents`.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wherry.llm.common import filled, free_name, groups_for
@@ -38,7 +42,8 @@ SHARD_SLOTS = 16_384
 SEED = 8
 WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_SOURCES = 50_000
-EXACT_DRAW = 10**9
+#: Groups whose sizes one task adds up; the sums of such spans are added up by source.
+SPAN_GROUPS = 4096
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -66,12 +71,8 @@ def shard_counts(totals: np.ndarray, shards: int, shard: int, seed: int = SEED)
     """(first slot, slots) per source of one shard; over all shards they tile range(total) of each source."""
     low, high, start, count = 0, shards, np.zeros_like(totals), totals.copy()
     while high - low > 1:
-        middle, whole = (low + high) // 2, int(count.sum())
-        want = whole * (middle - low) // (high - low)
-        if whole < EXACT_DRAW:
-            left = _generator(seed, low, high).multivariate_hypergeometric(count, want, method="marginals") if whole else count * 0
-        else:  # the spread of such a draw is under a ten-thousandth of it
-            left = count * (middle - low) // (high - low)
+        middle = (low + high) // 2
+        left = _generator(seed, low, high).binomial(count, (middle - low) / (high - low))
         if shard < middle:
             high, count = middle, left
         else:
@@ -79,31 +80,77 @@ def shard_counts(totals: np.ndarray, shards: int, shard: int, seed: int = SEED)
     return start, count
 
 
-def permute(index: np.ndarray, n: int, *key: object) -> np.ndarray:
-    """A permutation of range(n), chosen by key, applied to index: a four-round Feistel network, walked until it lands under n."""
-    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
-    mask, x = np.uint64((1 << half) - 1), index.astype(np.uint64)
-    keys = _generator("permute", *key).integers(0, 1 << 63, 4, dtype=np.uint64)
+class Permutation:
+    """A permutation of range(n), chosen by key: a four-round Feistel network, walked until it lands under n."""
+
+    def __init__(self, n: int, *key: object):
+        self.n, self.half = n, max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+        self.mask = np.uint64((1 << self.half) - 1)
+        self.keys = _generator("permute", *key).integers(0, 1 << 63, 4, dtype=np.uint64)
+
+    def _round(self, x: np.ndarray, k: np.uint64) -> np.ndarray:
+        m = (x + k) * np.uint64(0x9E3779B97F4A7C15)
+        m ^= m >> np.uint64(29)
+        m *= np.uint64(0xBF58476D1CE4E5B9)
+        return (m >> np.uint64(32)) & self.mask
+
+    def _forward(self, v: np.ndarray) -> np.ndarray:
+        left, right = v >> np.uint64(self.half), v & self.mask
+        for k in self.keys:
+            left, right = right, left ^ self._round(right, k)
+        return left << np.uint64(self.half) | right
+
+    def _back(self, v: np.ndarray) -> np.ndarray:
+        left, right = v >> np.uint64(self.half), v & self.mask
+        for k in self.keys[::-1]:
+            left, right = right ^ self._round(left, k), left
+        return left << np.uint64(self.half) | right
+
+    def _walk(self, index: np.ndarray, step) -> np.ndarray:
+        x = step(index.astype(np.uint64))
+        while len(over := np.flatnonzero(x >= np.uint64(self.n))):
+            x[over] = step(x[over])
+        return x.astype(np.int64)
+
+    def at(self, index: np.ndarray) -> np.ndarray:
+        return self._walk(index, self._forward)
+
+    def place_of(self, value: int) -> int:
+        return int(self._walk(np.array([value]), self._back)[0])
+
+
+def slots_for(target: int, size: int, block: int, *key: object) -> tuple[int, int]:
+    """(slots of a source, words that the last of them takes; 0 if it takes its whole block)."""
+    if not size:
+        return 0, 0
+    n = -(-size // block)
+    passes, left = divmod(target, size)
+    short = size - (n - 1) * block
+    place = Permutation(n, *key, passes).place_of(n - 1)  # the one block that may be short
+    if left >= place * block + short:
+        whole, rest = divmod(left + block - short, block)
+    else:
+        whole = min(left // block, place)
+        rest = left - whole * block
+    return passes * n + whole + (rest > 0), rest
+
+
+#: What a row is known by: two hashes of doc_id, source and text, one of the columns that a mix carries along, and a number among equal rows.
+ROW = ("a", "b", "other", "occurrence")
 
-    def once(v: np.ndarray) -> np.ndarray:
-        left, right = v >> np.uint64(half), v & mask
-        for k in keys:
-            m = (right + k) * np.uint64(0x9E3779B97F4A7C15)
-            m ^= m >> np.uint64(29)
-            m *= np.uint64(0xBF58476D1CE4E5B9)
-            left, right = right, left ^ ((m >> np.uint64(32)) & mask)
-        return left << np.uint64(half) | right
 
-    x = once(x)
-    while len(over := np.flatnonzero(x >= np.uint64(n))):
-        x[over] = once(x[over])
-    return x.astype(np.int64)
+def _hashes(carried: list[str]) -> list[Column]:
+    known = [x for c in ("doc_id", "source", "text") for x in (F.col(c), F.isnull(c))]  # a hash passes over nulls
+    other = F.xxhash64(F.to_json(F.struct(*carried))) if carried else F.lit(0).cast("bigint")
+    return [F.xxhash64(*known).alias("a"), F.xxhash64(F.lit("b"), *known).alias("b"), other.alias("other")]
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    """row, doc_id, source, size of every row of docs, written once: the row numbers must not change later."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), "source", F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size"))
-    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")[0]
+def _sized(docs: DataFrame, hashes: list[Column]) -> DataFrame:
+    """ROW, doc_id, source, size of every row of docs; the texts are read once."""
+    size = F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size")
+    rows = docs.select(*hashes, F.col("doc_id").cast("bigint").alias("doc_id"), "source", size)
+    counted, _ = materialize(rows.groupBy("a", "b", "other", "doc_id", "source", "size").agg(F.count("*").alias("n")), "sizes")
+    return counted.select("a", "b", "other", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("occurrence"), "doc_id", "source", "size")
 
 
 class Plan:
@@ -116,74 +163,81 @@ class Plan:
         self.sizes = [r["size"] for r in stats]
         self.targets = targets(self.sizes, [weights[i % len(weights)] for i in range(len(stats))], share, most)
         rows = [(r["source"], i, r["size"], t, groups_for(r["size"], GROUP_WORDS)) for i, (r, t) in enumerate(zip(stats, self.targets))]
-        self.sources = self.spark.createDataFrame(rows, "source string, source_index int, source_size bigint, target double, n_groups int")
+        self.sources = self.spark.createDataFrame(rows, "source string, source_index int, source_size bigint, target double, n_groups bigint")
         side = F.broadcast(self.sources) if len(rows) <= BROADCAST_SOURCES else self.sources
-        named = sizes.alias("d").join(side.alias("s"), F.expr("d.source <=> s.source")).select("d.row", "d.doc_id", "d.size", "s.source_index", "s.source_size", "s.target", "s.n_groups")
-        self.docs = named.withColumn("group", F.pmod(F.xxhash64("row"), F.col("n_groups")).cast("int")).drop("n_groups")
-        groups = self.docs.groupBy("source_index", "group").agg(F.sum("size").alias("words"))
-        groups = groups.select("source_index", "group", F.ceil(F.col("words") / block).cast("bigint").alias("blocks"))
-        before = Window.partitionBy("source_index").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-        self.groups, _ = materialize(groups.withColumn("first_block", F.coalesce(F.sum("blocks").over(before), F.lit(0))), "groups")
-        blocks = {r["source_index"]: r["n"] for r in self.groups.groupBy("source_index").agg(F.sum("blocks").alias("n")).collect()}
-        self.blocks = np.array([blocks.get(i, 0) for i in range(len(stats))], dtype=np.int64)
-        self.slots_of = np.array([min(round(t * n / s), int(most * n)) if s else 0 for t, n, s in zip(self.targets, self.blocks.tolist(), self.sizes)], dtype=np.int64)
+        named = sizes.alias("d").join(side.alias("s"), F.expr("d.source <=> s.source")).select(*[f"d.{c}" for c in ROW], "d.doc_id", "d.size", "s.source_index", "s.source_size", "s.target", "s.n_groups")
+        self.docs = named.withColumn("group", F.pmod(F.xxhash64("a", "b", "occurrence"), "n_groups")).drop("n_groups")
+        made = [slots_for(round(t), s, block, seed, i) for i, (t, s) in enumerate(zip(self.targets, self.sizes))]
+        self.slots_of, self.last_words = np.array([n for n, _ in made], dtype=np.int64), np.array([w for _, w in made], dtype=np.int64)
+        self.blocks = np.array([-(-s // block) for s in self.sizes], dtype=np.int64)
+
+    def _group_starts(self) -> DataFrame:
+        """source_index, group, first_word: sums over the groups before, first of whole spans of groups, then within a span."""
+        groups = self.docs.groupBy("source_index", "group").agg(F.sum("size").alias("words")).withColumn("span", F.expr(f"group div {SPAN_GROUPS}"))
+        before = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        sum_before = lambda window: F.coalesce(F.sum("words").over(window), F.lit(0))
+        spans = groups.groupBy("source_index", "span").agg(F.sum("words").alias("words"))
+        spans = spans.select("source_index", "span", sum_before(before(["source_index"], "span")).alias("span_start"))
+        inside = groups.withColumn("start", sum_before(before(["source_index", "span"], "group")))
+        return inside.join(spans.hint("merge"), ["source_index", "span"]).select("source_index", "group", (F.col("span_start") + F.col("start")).alias("first_word"))
 
     def fragments(self) -> DataFrame:
-        """row, source_index, block, skip (words of the document before it) and words: the parts of documents in blocks."""
-        before = Window.partitionBy("source_index", "group").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+        """ROW, source_index, block, at (place in the block), skip (words of the document before it) and words: the parts of documents in blocks."""
+        before = Window.partitionBy("source_index", "group").orderBy(*ROW).rowsBetween(Window.unboundedPreceding, -1)
         placed = self.docs.filter("size > 0").withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-        placed = placed.join(self.groups.hint("merge"), ["source_index", "group"]).withColumn("stop", F.col("start") + F.col("size"))
+        placed = placed.join(self._group_starts().hint("merge"), ["source_index", "group"]).withColumn("start", F.col("start") + F.col("first_word"))
+        placed = placed.withColumn("stop", F.col("start") + F.col("size"))
         b = self.block
-        each = placed.withColumn("k", F.explode(F.expr(f"sequence(start div {b}, (stop - 1) div {b})")))
-        return each.select(
-            "row", "source_index", (F.col("first_block") + F.col("k")).alias("block"),
-            F.expr(f"greatest(start, k * {b}) - start").alias("skip"),
-            F.expr(f"least(stop, (k + 1) * {b}) - greatest(start, k * {b})").alias("words"),
-        )
+        each = placed.withColumn("block", F.explode(F.expr(f"sequence(start div {b}, (stop - 1) div {b})"))).withColumn("from", F.expr(f"greatest(start, block * {b})"))
+        return each.select(*ROW, "source_index", "block", F.expr(f"from - block * {b}").alias("at"), F.expr("from - start").alias("skip"), F.expr(f"least(stop, (block + 1) * {b}) - from").alias("words"))
 
     def slots(self) -> DataFrame:
-        """shard, source_index, slot, block: what every output shard takes."""
-        totals, blocks, seed = self.slots_of, self.blocks, self.seed
+        """shard, source_index, slot, block, words (of the block, for the last slot of a source; else null): what every output shard takes."""
+        totals, blocks, last, seed = self.slots_of, self.blocks, self.last_words, self.seed
         shards = groups_for(int(totals.sum()), SHARD_SLOTS)
 
         def drawn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 for shard in frame["id"]:
-                    for s, (a, n) in enumerate(zip(*shard_counts(totals, shards, int(shard), seed))):
-                        if not n:
-                            continue
-                        slot = np.arange(a, a + n)
-                        found, passes = np.empty(n, dtype=np.int64), slot // blocks[s]
+                    start, count = shard_counts(totals, shards, int(shard), seed)
+                    for s in np.flatnonzero(count):
+                        slot = np.arange(start[s], start[s] + count[s])
+                        found, passes = np.empty(len(slot), dtype=np.int64), slot // blocks[s]
                         for p in np.unique(passes):
-                            at = passes == p
-                            found[at] = permute(slot[at] % blocks[s], int(blocks[s]), seed, s, int(p))
-                        yield pd.DataFrame({"shard": shard, "source_index": np.int32(s), "slot": slot, "block": found})
+                            here = passes == p
+                            found[here] = Permutation(int(blocks[s]), seed, int(s), int(p)).at(slot[here] % blocks[s])
+                        is_part = (slot == totals[s] - 1) & (last[s] > 0)
+                        yield pd.DataFrame({"shard": shard, "source_index": np.int32(s), "slot": slot, "block": found, "words": pd.arrays.IntegerArray(np.full(len(slot), last[s]), ~is_part)})
 
         tasks = min(shards, max(self.spark.sparkContext.defaultParallelism, shards // 16))
-        return self.spark.range(0, shards if totals.sum() else 0, 1, tasks).mapInPandas(drawn, "shard bigint, source_index int, slot bigint, block bigint")
+        return self.spark.range(0, shards if totals.sum() else 0, 1, tasks).mapInPandas(drawn, "shard bigint, source_index int, slot bigint, block bigint, words bigint")
 
     def taken(self) -> DataFrame:
-        """row, skip, words, times: fragments that the mix takes."""
-        times = self.slots().groupBy("source_index", "block").agg(F.count("*").alias("times"))
-        return self.fragments().join(times.hint("merge"), ["source_index", "block"]).select("row", "skip", "words", "times")
+        """ROW, skip, words, times: parts of documents that the mix takes; no two overlap."""
+        per_block = self.slots().groupBy("source_index", "block").agg(F.count(F.when(F.col("words").isNull(), 1)).alias("times"), F.coalesce(F.max("words"), F.lit(0)).alias("part"))
+        both = self.fragments().join(per_block.hint("merge"), ["source_index", "block"]).withColumn("more", F.expr("greatest(0L, least(words, part - at))"))
+        split = F.expr("inline(filter(array(struct(skip as skip, more as words, times + 1 as times), struct(skip + more as skip, words - more as words, times as times)), x -> x.words > 0 and x.times > 0))")
+        return both.select(*ROW, split)
 
 
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK_WORDS, seed: int = SEED) -> Plan:
-    return Plan(_sized(docs), weights, share, most, block, seed)
+    return Plan(_sized(docs, _hashes([])), weights, share, most, block, seed)
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target and taken (words the mix takes, repeats counted) for every row of docs."""
     made = plan(docs, **options)
-    words = made.taken().groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    found = made.docs.join(words.hint("merge"), "row", "left")
+    words = made.taken().groupBy(*ROW).agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    found = made.docs.join(words.hint("merge"), list(ROW), "left")
     return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
 def shard_contents(docs: DataFrame, **options) -> DataFrame:
-    """shard, source_index, slot, row, skip, words: what stands in each slot of each output shard, blocks joined by index."""
+    """shard, source_index, slot, ROW, skip, words: what stands in each slot of each output shard, blocks joined by index."""
     made = plan(docs, **options)
-    return made.slots().join(made.fragments().hint("merge"), ["source_index", "block"]).select("shard", "source_index", "slot", "row", "skip", "words")
+    slots = made.slots().withColumnRenamed("words", "limit")
+    both = slots.join(made.fragments().hint("merge"), ["source_index", "block"]).withColumn("words", F.expr("coalesce(least(words, limit - at), words)"))
+    return both.filter("words > 0").select("shard", "source_index", "slot", *ROW, "skip", "words")
 
 
 def _span_texts(text: str, spans: list[tuple[int, int, int]], most: int) -> list[str]:
@@ -209,14 +263,14 @@ def mixed_documents(docs: DataFrame, most: float = MOST, **options) -> DataFrame
     """The documents of the mix, with the columns of docs: what is taken twice stands twice, what is not taken is left out.
 
     A document taken whole keeps its text; of one taken in part, text and n_chars (if docs has it) are those of the parts.
+    Rows that are equal in all columns stand once in the join, and once in the result for each time they are taken.
     """
-    spark = docs.sparkSession
-    row, parts = free_name(docs, "_row"), free_name(docs, "_spans")
-    kept, _ = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
-    sizes = kept.select(F.col(row).alias("row"), F.col("doc_id").cast("bigint"), "source", F.regexp_count(filled(), F.lit(WORD)).cast("bigint").alias("size"))
-    made = Plan(sizes, options.get("weights", WEIGHTS), options.get("share", SHARE), most, options.get("block", BLOCK_WORDS), options.get("seed", SEED))
-    spans = made.taken().groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("skip", "words", "times")).alias(parts))
-    both = kept.join(spans.hint("merge"), row)
+    parts = free_name(docs, "_spans")
+    hashes = _hashes([c for c in docs.columns if c not in ("doc_id", "source", "text")])
+    made = Plan(_sized(docs, hashes), options.get("weights", WEIGHTS), options.get("share", SHARE), most, options.get("block", BLOCK_WORDS), options.get("seed", SEED))
+    spans = made.taken().groupBy(*ROW).agg(F.collect_list(F.struct("skip", "words", "times")).alias("spans"))
+    keyed = docs.select(*hashes, F.struct("*").alias("doc")).dropDuplicates(["a", "b", "other"])
+    both = keyed.join(spans.hint("merge"), ["a", "b", "other"])
     copies = int(np.ceil(most))
 
     def expanded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,4 +281,4 @@ def mixed_documents(docs: DataFrame, most: float = MOST, **options) -> DataFrame
                 out["n_chars"] = out["text"].map(len)
             yield out
 
-    return both.select(*docs.columns, parts).mapInPandas(expanded, docs.schema)
+    return both.select("doc.*", F.col("spans").alias(parts)).mapInPandas(expanded, docs.schema)
