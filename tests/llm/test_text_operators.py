@@ -2,6 +2,7 @@
 
 import hashlib
 import html as html_module
+import math
 import random
 import re
 import zlib
@@ -348,33 +349,59 @@ def test_native_plans_have_no_python(docs):
 # ---- 7: LM scores ---------------------------------------------------------------------------------------------------
 
 
-def scores_by_hand(texts):
-    import math
-
+def scores_by_hand(texts, order):
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     docs = [WORD.findall((t or "").translate(lower)) for t in texts]
-    one, two = Counter(w for d in docs for w in d), Counter(p for d in docs for p in zip(d, d[1:]))
-    total, found = sum(one.values()), []
+    grams = lambda d: Counter(tuple(d[k : k + n]) for n in range(1, order + 1) for k in range(len(d) - n + 1))
+    corpus, total, found = sum(map(grams, docs), Counter()), sum(map(len, docs)), []
     for d in docs:
-        own1, own2, score = Counter(d), Counter(zip(d, d[1:])), 0.0
-        for k, w in enumerate(d):
-            single = math.log(max(one[w] - own1[w], 0.5)) - math.log(max(total - len(d), 1))
-            if not k:
-                score += single
-            else:
-                pair = two[d[k - 1], w] - own2[d[k - 1], w]
-                score += math.log(pair) - math.log(one[d[k - 1]] - own1[d[k - 1]]) if pair > 0 else math.log(0.4) + single
-        found.append((len(d), score))
+        own = grams(d)
+        count = lambda g: corpus[g] - own[g]
+
+        def log_score(context, word):
+            if not context:
+                return math.log(max(count((word,)), 0.5)) - math.log(max(total - len(d), 1))
+            if count((*context, word)) > 0:
+                return math.log(count((*context, word))) - math.log(count(context))
+            return math.log(0.4) + log_score(context[1:], word)
+
+        found.append((len(d), sum(log_score(tuple(d[max(0, k - order + 1) : k]), w) for k, w in enumerate(d))))
     return found
 
 
-def test_lm_scores_equal_brute_force(docs, edge):
-    for df, chunk in ((docs, 4000), (docs, 23), (edge, 3)):
-        rows = df.collect()
-        want = sorted((str(r["doc_id"]), n, s) for r, (n, s) in zip(rows, scores_by_hand([r["text"] for r in rows])))
-        got = sorted((str(r["doc_id"]), r["n_words"], r["log_probability"]) for r in lm_scoring.score_documents(df, chunk_docs=chunk).collect())
-        assert [x[:2] for x in got] == [x[:2] for x in want]
-        assert [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-3, rel=1e-9)
+def check_lm(df, order, **options):
+    rows = df.collect()
+    want = sorted((str(r["doc_id"]), n, s) for r, (n, s) in zip(rows, scores_by_hand([r["text"] for r in rows], order)))
+    got = sorted((str(r["doc_id"]), r["n_words"], r["log_probability"]) for r in lm_scoring.score_documents(df, order, **options).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-3, rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_scores_equal_brute_force(docs, edge, order):
+    check_lm(docs.limit(80), order, chunk_words=9000, part_words=5000)
+    check_lm(edge, order, chunk_words=15_000, part_words=9_000)
+
+
+def test_lm_scores_of_the_table_in_one_chunk_and_many(docs):
+    check_lm(docs, 2)
+    check_lm(docs, 2, chunk_words=20_000, part_words=9_000)
+
+
+def test_lm_equal_rows_are_spread(spark, docs):
+    same = docs.limit(1).crossJoin(spark.range(400)).drop("id").unionByName(docs.limit(20))
+    check_lm(same, 2, chunk_words=10_000)
+    chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(8))
+    assert same.select(chunk.alias("c")).distinct().count() == 8
+
+
+def test_lm_other_rows_than_counted_are_an_error():
+    made, other = lm_scoring.Chunk(["a b c d e f g"]), lm_scoring.Chunk(["a b x y z"])
+    rows = pa.Table.from_batches(list(lm_scoring._sent(0, made, 5))).to_pandas()
+    back = lm_scoring._joined(rows)
+    assert [t.tolist() for t in lm_scoring._received(made, back, 5)] == [c.tolist() for c in made.counts]
+    with pytest.raises(RuntimeError, match="same rows twice"):
+        lm_scoring._received(other, back, 5)
 
 
 def test_lm_scores_empty_and_clashing(nothing, clashing):

@@ -1,17 +1,22 @@
 """Stupid-backoff scores from n-gram counts over the whole corpus, each document's own counts left out.
 
-With c the counts of the corpus less those of the document scored (N' their number of words), a word w after v scores
-c(v w) / c(v) if c(v w) > 0, else BACKOFF * c(w) / N'; a first word scores c(w) / N'; a count of zero there is read as one half.
-A document's score is the sum of the natural logarithms. Words are lower-cased (A-Z) runs outside ASCII white space.
+With c the counts of the corpus less those of the document scored (N' their number of words), a word w after the words v scores
+c(v w) / c(v) if c(v w) > 0, else BACKOFF times its score after v without its first word; with no word before it, it scores c(w) / N', a count
+of zero there being read as one half. v is the `order` - 1 words before w, or as many as the document has. A document's score is the sum of the
+natural logarithms. Words are lower-cased (A-Z) runs outside ASCII white space.
 
-Relations: documents are dealt by hash into chunks. Each chunk's n-grams (orders 1 and 2, as 64-bit hashes) are counted and sent,
-once per chunk and different n-gram, to the partition of their hash: the count tables. There the counts of all chunks are summed, and
+Relations: documents are dealt into chunks of about CHUNK_WORDS words. The n-grams of each chunk (64-bit hashes, orders 1 to `order`) are counted
+and sent, once per chunk and different n-gram, to the partition of their hash: the count tables. There the counts of all chunks are summed, and
 joined back: each chunk gets the totals of its own n-grams, in the order it sent them. The chunk joins them to its documents' n-grams
-and sums per document. A row holds the n-grams of one chunk and partition as packed arrays; no n-gram, however frequent,
-is more than one entry per chunk, and no count is dropped.
+and sums per document. A row holds the n-grams of one chunk, order and partition as packed arrays, and there is a row only where there are
+n-grams: the rows never outnumber the different n-grams of the chunks, and partitions have about PART_WORDS words at any size. No n-gram, however
+frequent, is more than one entry per chunk, and no count is dropped. The chunk of a row is drawn from its place in the input, so equal rows
+are spread as well; the input must give its rows in the same order when a task is repeated, as files do, and a chunk that gets totals for other
+n-grams than it has is an error.
 
 Defined cases: a null text is the empty text, with 0 words and log-probability 0; equal rows count as different documents (a copy
-is known from its twin); one row per input row; empty tables give empty results; extra columns are ignored.
+is known from its twin); a very long text is one document of its chunk; one row per input row; empty tables give empty results; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +35,10 @@ from wherry.llm.common import filled, groups_for
 
 BACKOFF = 0.4
 UNSEEN = 0.5
-CHUNK_DOCS = 4_000
-TABLE_DOCS = 5_000
+ORDER = 2
+CHUNK_WORDS = 2_000_000
+CHUNK_ROWS = 100_000
+PART_WORDS = 2_500_000
 CACHE_WORDS = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,9 +58,9 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
 
 
-def pair_hashes(words: np.ndarray) -> np.ndarray:
-    """64-bit hashes of neighbouring words."""
-    x = words[:-1] * MIX ^ (words[1:] + MIX)
+def longer_hashes(grams: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """64-bit hashes of n-grams followed by a word."""
+    x = grams * MIX ^ (words + MIX)
     x ^= x >> np.uint64(31)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     return x ^ x >> np.uint64(29)
@@ -62,63 +69,83 @@ def pair_hashes(words: np.ndarray) -> np.ndarray:
 class Chunk:
     """The n-grams of some documents and where each stands."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], order: int = ORDER):
         each = [word_hashes(t) for t in texts]
         self.sizes = np.array([len(x) for x in each], dtype=np.int64)
-        words = np.concatenate(each) if each else np.zeros(0, np.uint64)
+        words = np.concatenate([*each, np.zeros(0, np.uint64)])
         self.doc = np.repeat(np.arange(len(texts)), self.sizes)
-        # a pair may not run over the end of a document
-        inside = self.doc[1:] == self.doc[:-1] if len(words) else np.zeros(0, bool)
-        pairs = pair_hashes(words)[inside] if len(words) else words
-        self.has_before = np.concatenate([[False], inside]) if len(words) else inside
-        self.grams: list[np.ndarray] = []
-        self.at: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        for x in (words, pairs):
-            grams, at, counts = np.unique(x, return_inverse=True, return_counts=True)
+        starts = np.cumsum(self.sizes) - self.sizes
+        before = np.arange(len(words)) - np.repeat(starts, self.sizes)  # words of the document before each word
+        #: per order: where n-grams end, the different ones in ascending order, which of them ends there, and their counts
+        self.ends, self.grams, self.at, self.counts = [], [], [], []
+        hashes = words
+        for n in range(order):
+            ends = np.flatnonzero(before >= n)
+            if n:
+                hashes = np.zeros_like(words)
+                hashes[ends] = longer_hashes(previous[ends - 1], words[ends])
+            grams, at, counts = np.unique(hashes[ends], return_inverse=True, return_counts=True)
+            self.ends.append(ends)
             self.grams.append(grams)
             self.at.append(at.ravel())
             self.counts.append(counts)
+            previous = hashes
 
-    def parts(self, order: int, partitions: int) -> list[np.ndarray]:
-        """For each partition, the positions of its n-grams in grams[order], ascending."""
-        place = (self.grams[order] >> np.uint64(11)) % np.uint64(partitions)
-        by = np.argsort(place, kind="stable")
-        return np.split(by, np.searchsorted(place[by], np.arange(1, partitions)))
+    def dealt(self, n: int, partitions: int) -> tuple[np.ndarray, np.ndarray]:
+        """(order of the n-grams by partition and hash, how many each partition gets)."""
+        place = (self.grams[n] >> np.uint64(11)) % np.uint64(partitions)
+        return np.argsort(place, kind="stable"), np.bincount(place.astype(np.int64), minlength=partitions)
 
-    def own(self, order: int) -> np.ndarray:
+    def own(self, n: int) -> np.ndarray:
         """For each n-gram position, its count in its own document."""
-        at, doc = self.at[order], self.doc if order == 0 else self.doc[self.has_before]
-        key = doc * np.int64(max(1, len(self.grams[order]))) + at
+        key = self.doc[self.ends[n]] * np.int64(max(1, len(self.grams[n]))) + self.at[n]
         _, back, counts = np.unique(key, return_inverse=True, return_counts=True)
         return counts[back.ravel()]
 
     def scores(self, totals: list[np.ndarray], corpus_words: int) -> np.ndarray:
-        """Log-probability of each document, given the corpus counts of grams[0] and grams[1]."""
-        single = (totals[0][self.at[0]] - self.own(0)).astype(float)
+        """Log-probability of each document, given the corpus counts of the n-grams of each order."""
+        shorter = (totals[0][self.at[0]] - self.own(0)).astype(float)
         others = (corpus_words - self.sizes[self.doc]).astype(float)
-        logs = np.log(np.maximum(single, UNSEEN)) - np.log(np.maximum(others, 1.0))
-        if len(self.at[1]):
-            pair = (totals[1][self.at[1]] - self.own(1)).astype(float)
-            context = single[np.flatnonzero(self.has_before) - 1]
-            known = pair > 0
-            after = logs[self.has_before] + math.log(BACKOFF)
-            after[known] = np.log(pair[known]) - np.log(context[known])
-            logs[self.has_before] = after
+        logs = np.log(np.maximum(shorter, UNSEEN)) - np.log(np.maximum(others, 1.0))
+        for n in range(1, len(self.grams)):
+            ends = self.ends[n]
+            count = (totals[n][self.at[n]] - self.own(n)).astype(float)
+            known = count > 0
+            logs[ends] += math.log(BACKOFF)
+            logs[ends[known]] = np.log(count[known]) - np.log(shorter[ends[known] - 1])
+            shorter = np.zeros(len(self.doc))
+            shorter[ends] = count
         return np.bincount(self.doc, weights=logs, minlength=len(self.sizes))
 
 
-GRAMS = "part int, chunk int, grams binary, counts binary"
+GRAMS = "part int, chunk int, n int, grams binary, counts binary"
+TOTALS = "chunk int, part int, n int, totals binary"
 
 
-def _narrow(counts: np.ndarray) -> bytes:
-    """Counts as a type mark and the smallest unsigned integers that hold them."""
-    kind = next(k for k in ("u1", "u2", "u4", "u8") if not len(counts) or counts.max() <= np.iinfo(k).max)
-    return kind[1].encode() + counts.astype(kind).tobytes()
+def _narrow(counts: np.ndarray) -> tuple[int, np.ndarray]:
+    """The bytes of the smallest unsigned integers that hold counts, and counts as those."""
+    size = next(k for k in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << 8 * k)
+    return size, counts.astype(f"<u{size}")
 
 
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="u" + data[:1].decode(), offset=1).astype(np.int64)
+def _wide(data: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{len(data) // max(1, length)}", count=length).astype(np.int64)
+
+
+def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Consecutive stretches of data as binary values."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]) * data.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
+def _sent(chunk: int, made: Chunk, partitions: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a chunk: one for each order and partition with n-grams."""
+    for n, (grams, counts) in enumerate(zip(made.grams, made.counts)):
+        by, sizes = made.dealt(n, partitions)
+        used = np.flatnonzero(sizes)
+        _, narrow = _narrow(counts)
+        columns = [pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int32()), pa.array(np.full(len(used), n), pa.int32()), _binary(grams[by].astype("<u8"), sizes[used]), _binary(narrow[by], sizes[used])]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "chunk", "n", "grams", "counts"])
 
 
 def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
@@ -135,56 +162,53 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str
         yield chunk, texts
 
 
-def score_documents(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
+def _joined(frame: pd.DataFrame) -> pd.DataFrame:
+    """The count table of one partition, joined back to what each chunk sent."""
+    found = []
+    for _, rows in frame.groupby("n"):
+        grams = [np.frombuffer(g, "<u8") for g in rows["grams"]]
+        sizes = [len(g) for g in grams]
+        _, at = np.unique(np.concatenate(grams), return_inverse=True)
+        counts = np.concatenate([_wide(c, size) for c, size in zip(rows["counts"], sizes)])
+        table = np.bincount(at.ravel(), weights=counts).astype(np.int64)
+        each = np.split(table[at.ravel()], np.cumsum(sizes)[:-1])
+        found.append(pd.DataFrame({"chunk": rows["chunk"], "part": rows["part"], "n": rows["n"], "totals": [_narrow(t)[1].tobytes() for t in each]}))
+    return pd.concat(found)
+
+
+def _received(made: Chunk, rows: pd.DataFrame, partitions: int) -> list[np.ndarray]:
+    """The corpus count of each n-gram of a chunk, from the rows that came back."""
+    totals = []
+    for n, grams in enumerate(made.grams):
+        by, sizes = made.dealt(n, partitions)
+        some = rows[rows["n"] == n].sort_values("part")
+        if some["part"].tolist() != np.flatnonzero(sizes).tolist():
+            raise RuntimeError("the totals are those of other n-grams: the input did not give the same rows twice")
+        found = np.empty(len(grams), np.int64)
+        if len(some):
+            found[by] = np.concatenate([_wide(data, size) for data, size in zip(some["totals"], sizes[sizes > 0].tolist())])
+        totals.append(found)
+    return totals
+
+
+def score_documents(docs: DataFrame, order: int = ORDER, chunk_words: int = CHUNK_WORDS, part_words: int = PART_WORDS) -> DataFrame:
     """doc_id, n_words, log_probability and perplexity for every row of docs."""
-    spark = docs.sparkSession
-    rows = docs.count()
-    chunks, partitions = groups_for(rows, chunk_docs), groups_for(rows, TABLE_DOCS)
-    spread = max(1, chunks)
-    placed = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text"))
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(spread, "chunk")
+    words = F.coalesce(F.sum(F.regexp_count(filled(), F.lit(r"[^\x20\x09-\x0D]+"))), F.lit(0))
+    total, rows = docs.agg(words, F.count("*")).first()
+    chunks, partitions = max(groups_for(total, chunk_words), groups_for(rows, CHUNK_ROWS)), groups_for(total, part_words)
+    placed = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text"), F.monotonically_increasing_id().alias("place"))
+    # twice as many tasks as chunks: fewer tasks get several
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("place"), F.lit(chunks)).cast("int")).drop("place").repartition(2 * chunks, "chunk")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())])
         for chunk, texts in _by_chunk(batches):
-            made = Chunk(texts)
-            split = [made.parts(order, partitions) for order in (0, 1)]
-            for p in range(partitions):
-                grams = [made.grams[o][split[o][p]] for o in (0, 1)]
-                counts = [made.counts[o][split[o][p]] for o in (0, 1)]
-                head = len(grams[0]).to_bytes(8, "little")
-                yield pa.RecordBatch.from_pylist([{"part": p, "chunk": chunk, "grams": head + np.concatenate(grams).tobytes(), "counts": _narrow(np.concatenate(counts))}], schema=schema)
-
-    tables = placed.sortWithinPartitions("chunk").mapInArrow(counted, GRAMS)
-
-    def joined(frame: pd.DataFrame) -> pd.DataFrame:
-        """The count table of one partition, joined back to what each chunk sent."""
-        frame = frame.sort_values("chunk", kind="stable")
-        firsts = [int.from_bytes(g[:8], "little") for g in frame["grams"]]
-        grams = [np.frombuffer(g, np.uint64, offset=8) for g in frame["grams"]]
-        counts = [_wide(c) for c in frame["counts"]]
-        totals = []
-        for half in (lambda x, n: x[:n], lambda x, n: x[n:]):
-            _, at = np.unique(np.concatenate([half(g, n) for g, n in zip(grams, firsts)]), return_inverse=True)
-            at = at.ravel()
-            table = np.bincount(at, weights=np.concatenate([half(c, n) for c, n in zip(counts, firsts)])).astype(np.int64) if len(at) else at
-            cuts = np.cumsum([len(half(g, n)) for g, n in zip(grams, firsts)])[:-1]
-            totals.append(np.split(table[at], cuts))
-        data = [n.to_bytes(8, "little") + _narrow(np.concatenate([a, b])) for n, a, b in zip(firsts, *totals)]
-        return pd.DataFrame({"chunk": frame["chunk"].to_numpy(), "part": frame["part"].to_numpy(), "totals": data})
-
-    known = tables.groupBy("part").applyInPandas(joined, "chunk int, part int, totals binary")
-    total = docs.agg(F.coalesce(F.sum(F.regexp_count(filled(), F.lit(r"[^\x20\x09-\x0D]+"))), F.lit(0)).alias("n")).first()["n"]
+            yield from _sent(chunk, Chunk(texts, order), partitions)
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        made = Chunk(left["text"].tolist())
-        found = [np.zeros(len(g), np.int64) for g in made.grams]
-        split = [made.parts(order, partitions) for order in (0, 1)]
-        for p, data in zip(right["part"], right["totals"]):
-            n, values = int.from_bytes(data[:8], "little"), _wide(data[8:])
-            found[0][split[0][p]], found[1][split[1][p]] = values[:n], values[n:]
-        return pd.DataFrame({"doc_id": left["doc_id"], "n_words": made.sizes, "log_probability": made.scores(found, total)})
+        made = Chunk(left["text"].tolist(), order)
+        return pd.DataFrame({"doc_id": left["doc_id"], "n_words": made.sizes, "log_probability": made.scores(_received(made, right, partitions), total)})
 
+    known = placed.sortWithinPartitions("chunk").mapInArrow(counted, GRAMS).groupBy("part").applyInPandas(_joined, TOTALS)
     # the texts stay where the first exchange put them; only the totals move
     both = placed.groupBy("chunk").cogroup(known.groupBy("chunk"))
     found = both.applyInPandas(scored, "doc_id bigint, n_words bigint, log_probability double")
