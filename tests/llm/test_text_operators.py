@@ -560,16 +560,34 @@ def test_simhash_equals_brute_force(docs, edge):
         assert plain(simhash.near_duplicates(df)) == sorted(want, key=repr)
 
 
-def test_masks_cover_every_pair_of_three_bits():
-    masks = simhash.covering_masks()
-    assert len(masks) == 15 and min(m.bit_count() for m in masks) >= 30
+@pytest.mark.parametrize("radius, tables", [(0, 1), (1, 3), (3, 15), (5, 14), (7, 30), (11, 45)])
+def test_masks_cover_every_pair_in_the_radius(radius, tables):
+    masks = simhash.covering_masks(radius)
+    assert len(masks) == tables and min(m.bit_count() for m in masks) >= 64 // (2 * -(-(radius + 1) // 4)) - 2
     r = random.Random(1)
     for _ in range(3000):
-        bits = sum(1 << b for b in r.sample(range(64), r.randint(1, 3)))
+        bits = sum(1 << b for b in r.sample(range(64), r.randint(0, radius)))
         assert any(not m & bits for m in masks)
-    for m in masks:
-        for c in simhash.cuts(m):
-            assert c & m == m
+        m = next(m for m in masks if not m & bits)
+        assert any(not c & bits and c & m == m for c in simhash.cuts(m, radius))
+
+
+@pytest.mark.parametrize("size", [1, 4, 1000])
+def test_buckets_over_batches_link_like_brute_force(size):
+    r = random.Random(size)
+    values = sorted({sum({1 << r.randrange(12) for _ in range(4)}) for _ in range(400)})
+    key = [v & 7 for v in values]
+    order = sorted(range(len(values)), key=lambda k: key[k])
+    whole = pa.RecordBatch.from_pydict({"kept": [7] * len(values), "key": [key[k] for k in order], "fp": [values[k] for k in order]})
+    edges = [e for batch in simhash._bucket_edges(3)([whole[k : k + size] for k in range(0, len(values), size)]) for e in zip(*batch.to_pydict().values())]
+    assert all(u & 7 == v & 7 for u, v in edges)
+    parent = {v: v for v in values}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for u, v in edges:
+        parent[max(find(u), find(v))] = min(find(u), find(v))
+    for k in range(8):
+        some = [v for v in values if v & 7 == k]
+        assert [some.index(find(v)) for v in some] == components_by_hand(some)
 
 
 @pytest.mark.parametrize("n", [2, 60, 1500, 3000])
@@ -594,18 +612,23 @@ def test_large_buckets_are_dealt_anew(spark, monkeypatch):
     r = random.Random(5)
     base = [r.getrandbits(64) for _ in range(3)]
     values = sorted({r.choice(base) ^ sum({1 << r.randrange(64) for _ in range(r.randrange(5))}) for _ in range(250)})
-    rows = spark.createDataFrame([(k, 0, simhash.signed(v)) for k, v in enumerate(values)], "doc_id long, text_hash long, fp long")
+    rows = spark.createDataFrame([(k, simhash.signed(v)) for k, v in enumerate(values)], "doc_id long, fp long")
     found = {simhash.ALL & r["fp"]: r["component_id"] for r in simhash.fingerprint_components(rows).collect()}
     assert [found[v] for v in values] == components_by_hand(values)
 
 
-def test_keep_one(docs, edge, clashing, nothing):
-    groups = simhash.near_duplicates(docs).select("component_id").distinct()
-    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted(r[0] for r in groups.collect())
-    ids = [r["doc_id"] for r in simhash.keep_one(edge).collect()]
-    assert sorted(ids, key=repr) == sorted([1, 4, 5, 6, 7, 8, None, 9, 10], key=repr)
-    assert simhash.keep_one(clashing).columns == clashing.columns
-    assert simhash.keep_one(nothing).count() == 0 and simhash.near_duplicates(nothing).count() == 0
+def test_simhash_null_ids_empty_and_clashing(edge, clashing, nothing):
+    assert simhash.near_duplicates(nothing).count() == 0
+    rows = simhash.near_duplicates(edge).collect()
+    assert len(rows) == len(EDGE) and [r["component_id"] for r in rows if r["doc_id"] is None] == [None]
+    assert plain(simhash.near_duplicates(clashing)) == plain(simhash.near_duplicates(edge))
+
+
+def test_simhash_of_a_hot_fingerprint_and_of_none(docs, monkeypatch):
+    want = plain(simhash.near_duplicates(docs))
+    for share in (1, 10**9):
+        monkeypatch.setattr(simhash, "HOT_SHARE", share)
+        assert plain(simhash.near_duplicates(docs)) == want
 
 
 # ---- 10: pages ------------------------------------------------------------------------------------------------------

@@ -1,17 +1,21 @@
 """SimHash near-duplicates by covering locality-sensitive hashing.
 
-Every bit position gets a nonzero vector of four bits; table v (v = 1..15) keeps the positions whose vector has an odd
-inner product with v. Up to three differing bits are three linear conditions on v in four dimensions, so some
-nonzero v meets them all: in that table the two fingerprints agree on every kept bit. No pair within the radius is missed.
+Up to three differing bits: every bit position gets a nonzero vector of four bits; table v (v = 1..15) keeps the positions whose vector has an odd
+inner product with v. The differing bits are three linear conditions on v in four dimensions, so some nonzero v meets them all: in that table
+the two fingerprints agree on every kept bit. For a wider radius the positions are cut in so many blocks that one of them has three
+differing bits at most, and each block has its own 15 tables. No pair within the radius is missed.
 
 Equal fingerprints are one row before any bucket is built. A bucket of more than BUCKET_ROWS different fingerprints is
-dealt anew, at most twice: its free bits are cut in four blocks, of which three differing bits leave one untouched. After two
-cuts at most 16 bits are free, so a bucket has at most 65,536 fingerprints; a task links it by the same
-cuts and then directly. A bucket returns a spanning star for each of its components, never all its pairs.
+dealt anew, at most twice: its free bits are cut in radius + 1 blocks, of which the differing bits leave one untouched. What is still large
+then, a task links by the same cuts and then directly, at eight bytes a fingerprint. A bucket returns a spanning star for each of its
+components, never all its pairs; of up to SMALL fingerprints, the links themselves.
+
+A fingerprint that many rows share is joined back by a broadcast of those that a thousandth of the rows or more share, of which there are
+a thousand at most; the others are merged.
 
 Defined cases: a null text counts as empty; texts without words have fingerprint zero and are linked like any other;
-repeated rows are linked to each other; a null doc_id takes part but is never the smallest unless its group has no other;
-empty tables give empty results; extra columns are ignored by `near_duplicates` and kept by `keep_one`.
+repeated rows are linked to each other; a null doc_id takes part but is never the smallest unless its group has no other; a very long text is
+read whole; empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ SHINGLE = 3
 SEED = 42
 BUCKET_ROWS = 4096
 DIRECT = 1024
+SMALL = 6
+HOT_SHARE = 1000
 ALL = (1 << 64) - 1
 
 
@@ -53,7 +59,11 @@ def shingle_hashes(text: str | None, words: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: str | None) -> int:
     """The 64-bit SimHash of a text's three-word shingles (all its words if fewer; zero if none)."""
-    hashes = shingle_hashes(text)
+    return fingerprint_of(shingle_hashes(text))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     if not len(hashes):
         return 0
     ones = np.zeros(64, dtype=np.int64)
@@ -70,32 +80,33 @@ def signed(x: int) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         found = pa.array([signed(fingerprint(t)) for t in batch.column("text").to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), found], names=["doc_id", "text_hash", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], names=["doc_id", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp) per row of docs; fp is the fingerprint as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id bigint, text_hash bigint, fp bigint")
+    """(doc_id, fp) per row of docs; fp is the fingerprint as a signed long."""
+    return docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
 
 
 # ---- masks -------------------------------------------------------------------------------------------------------
 
 
-def _vectors() -> list[int]:
-    return [(7 * i) % 15 + 1 for i in range(64)]
-
-
-def covering_masks() -> list[int]:
-    """The kept bits of tables 1 to 2**(RADIUS + 1) - 1."""
-    vectors = _vectors()
-    return [sum(1 << i for i, m in enumerate(vectors) if (m & v).bit_count() & 1) for v in range(1, 1 << (RADIUS + 1))]
+def covering_masks(radius: int = RADIUS) -> list[int]:
+    """The kept bits of the tables: 15 for each block, and a block for each four bits of radius + 1."""
+    blocks = -(-(radius + 1) // 4)
+    within = radius // blocks  # one block has no more differing bits than this
+    masks = []
+    for k in range(blocks):
+        places = range(k, 64, blocks)
+        vectors = [j % ((2 << within) - 1) + 1 for j in range(len(places))]
+        masks += [sum(1 << i for i, m in zip(places, vectors) if (m & v).bit_count() & 1) for v in range(1, 2 << within)]
+    return masks
 
 
-def cuts(kept: int) -> list[int]:
-    """The kept masks after each of RADIUS + 1 blocks of the free bits is kept too."""
+def cuts(kept: int, radius: int = RADIUS) -> list[int]:
+    """The kept masks after each of radius + 1 blocks of the free bits is kept too."""
     free = [i for i in range(64) if not kept >> i & 1]
-    return [kept | sum(1 << i for i in free[k :: RADIUS + 1]) for k in range(RADIUS + 1)]
+    return [kept | sum(1 << i for i in free[k :: radius + 1]) for k in range(radius + 1)]
 
 
 # ---- linking one bucket ---------------------------------------------------------------------------------------------
@@ -114,7 +125,7 @@ def _union(parent: np.ndarray, a: int, b: int) -> None:
         parent[max(a, b)] = min(a, b)
 
 
-def _link(values: np.ndarray, index: np.ndarray, kept: int, parent: np.ndarray) -> None:
+def _link(values: np.ndarray, index: np.ndarray, kept: int, parent: np.ndarray, radius: int) -> None:
     """Join the components of values[index], which agree on the kept bits."""
     if len(index) <= DIRECT:
         left = index
@@ -123,61 +134,73 @@ def _link(values: np.ndarray, index: np.ndarray, kept: int, parent: np.ndarray)
             if not front:
                 front, left = [int(left[0])], left[1:]
             at = front.pop()
-            near = np.bitwise_count(values[left] ^ values[at]) <= RADIUS
+            near = np.bitwise_count(values[left] ^ values[at]) <= radius
             for j in left[near].tolist():
                 _union(parent, at, j)
                 front.append(j)
             left = left[~near]
         return
-    for mask in cuts(kept):
+    for mask in cuts(kept, radius):
         keys = values[index] & np.uint64(mask)
         order = np.argsort(keys, kind="stable")
         edges = np.flatnonzero(np.diff(keys[order])) + 1
         for part in np.split(index[order], edges):
             if len(part) > 1:
-                _link(values, part, mask, parent)
+                _link(values, part, mask, parent, radius)
 
 
-def link_bucket(values: np.ndarray, kept: int = 0) -> np.ndarray:
+def link_bucket(values: np.ndarray, kept: int = 0, radius: int = RADIUS) -> np.ndarray:
     """For different fingerprints that agree on the kept bits: the position of the first of each one's component."""
     parent = np.arange(len(values))
-    _link(values, np.arange(len(values)), kept, parent)
+    _link(values, np.arange(len(values)), kept, parent, radius)
     return np.array([_root(parent, i) for i in range(len(values))], dtype=np.int64)
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (kept, key, fp) sorted by (kept, key) -> star edges. A bucket may run over several batches."""
-    rest = np.zeros((3, 0), dtype=np.uint64)
-
-    def edges(block: np.ndarray) -> pa.RecordBatch:
-        kept, key, fp = block
-        cut = np.flatnonzero((kept[1:] != kept[:-1]) | (key[1:] != key[:-1])) + 1
-        starts, stops = np.concatenate([[0], cut]), np.concatenate([cut, [len(fp)]])
-        sizes = stops - starts
-        two = starts[sizes == 2]
-        two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= RADIUS]
-        left, right = [fp[two]], [fp[two + 1]]
-        for a, b in zip(starts[sizes > 2].tolist(), stops[sizes > 2].tolist()):
-            values = fp[a:b]
-            root = link_bucket(values, int(kept[a]))
-            moved = np.flatnonzero(root != np.arange(len(values)))
-            left.append(values[root[moved]])
-            right.append(values[moved])
-        columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (left, right)]
-        return pa.RecordBatch.from_arrays(columns, names=["u", "v"])
-
-    for batch in batches:
-        new = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in ("kept", "key", "fp")]) if batch.num_rows else rest[:, :0]
-        rows = np.concatenate([rest, new], axis=1)
-        if not rows.shape[1]:
-            continue
-        last = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1])
-        done = int(np.argmax(last))
-        rest = rows[:, done:]
-        if done:
-            yield edges(rows[:, :done])
-    if rest.shape[1]:
-        yield edges(rest)
+def _edges(block: np.ndarray, radius: int) -> pa.RecordBatch:
+    """Edges of whole buckets: rows kept, key, fp, sorted by (kept, key)."""
+    kept, key, fp = block
+    cut = np.flatnonzero((kept[1:] != kept[:-1]) | (key[1:] != key[:-1])) + 1
+    starts, stops = np.concatenate([[0], cut]), np.concatenate([cut, [len(fp)]])
+    sizes = stops - starts
+    last = np.repeat(np.where(sizes <= SMALL, stops, starts), sizes)
+    left, right = [fp[:0]], [fp[:0]]
+    for step in range(1, SMALL):
+        at = np.flatnonzero(np.arange(len(fp)) + step < last)
+        at = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= radius]
+        left.append(fp[at])
+        right.append(fp[at + step])
+    for a, b in zip(starts[sizes > SMALL].tolist(), stops[sizes > SMALL].tolist()):
+        values = fp[a:b]
+        root = link_bucket(values, int(kept[a]), radius)
+        moved = np.flatnonzero(root != np.arange(len(values)))
+        left.append(values[root[moved]])
+        right.append(values[moved])
+    columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (left, right)]
+    return pa.RecordBatch.from_arrays(columns, names=["u", "v"])
+
+
+def _bucket_edges(radius: int):
+    """Rows (kept, key, fp) sorted by (kept, key) -> edges. A bucket may run over several batches."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in ("kept", "key", "fp")])
+            same = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1])
+            done = int(np.argmax(same))
+            if not done and rest and (rest[-1][:2, -1] == rows[:2, -1]).all():
+                rest.append(rows)  # one bucket goes on
+                continue
+            whole = np.concatenate([*rest, rows[:, :done]], axis=1)
+            if whole.shape[1]:
+                yield _edges(whole, radius)
+            rest = [rows[:, done:]]
+        if rest:
+            yield _edges(np.concatenate(rest, axis=1), radius)
+
+    return found
 
 
 # ---- the join -------------------------------------------------------------------------------------------------------
@@ -188,58 +211,47 @@ def _dealt(fps: DataFrame, masks: list[int]) -> DataFrame:
     return fps.select("fp", kept.alias("kept")).withColumn("key", F.col("fp").bitwiseAND(F.col("kept")))
 
 
-def _recut(rows: DataFrame, masks: list[int]) -> DataFrame:
+def _recut(rows: DataFrame, masks: list[int], radius: int) -> DataFrame:
     """Rows of large buckets, dealt to the cuts of their masks."""
-    options = F.create_map(*[x for m in masks for x in (F.lit(signed(m)).cast("bigint"), F.array(*[F.lit(signed(c)).cast("bigint") for c in cuts(m)]))])
+    options = F.create_map(*[x for m in masks for x in (F.lit(signed(m)).cast("bigint"), F.array(*[F.lit(signed(c)).cast("bigint") for c in cuts(m, radius)]))])
     return rows.select("fp", F.explode(options[F.col("kept")]).alias("kept")).withColumn("key", F.col("fp").bitwiseAND(F.col("kept")))
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Edges (u, v) whose components are those of all pairs of the different fingerprints fps.fp within RADIUS bits."""
-    masks, rows, parts = covering_masks(), _dealt(fps, covering_masks()), []
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Edges (u, v) whose components are those of all pairs of the different fingerprints fps.fp within the radius."""
+    masks = covering_masks(radius)
+    rows, parts = _dealt(fps, masks), []
     for _ in range(2):
         large, _path = materialize(rows.groupBy("kept", "key").count().filter(F.col("count") > BUCKET_ROWS).select("kept", "key"), "large")
         if large.isEmpty():
             break
         parts.append(rows.join(large, ["kept", "key"], "left_anti"))
-        rows = _recut(rows.join(large, ["kept", "key"], "left_semi"), masks)
-        masks = [c for m in masks for c in cuts(m)]
+        rows = _recut(rows.join(large, ["kept", "key"], "left_semi"), masks, radius)
+        masks = [c for m in masks for c in cuts(m, radius)]
     parts.append(rows)
     found = None
     for part in parts:
         placed = part.select("kept", "key", "fp").repartition("kept", "key").sortWithinPartitions("kept", "key")
-        edges = placed.mapInArrow(_bucket_edges, "u bigint, v bigint")
+        edges = placed.mapInArrow(_bucket_edges(radius), "u bigint, v bigint")
         found = edges if found is None else found.unionByName(edges)
     return found.distinct()
 
 
 def fingerprint_components(rows: DataFrame) -> DataFrame:
-    """(fp, component_id, rep_id, rep_hash) per different fingerprint of rows (doc_id, text_hash, fp)."""
-    least = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("text_hash"))
-    fps, _ = materialize(rows.groupBy("fp").agg(F.min(least).alias("rep")), "fps")
+    """(fp, n, component_id) per different fingerprint of rows (doc_id, fp); n counts its rows."""
+    least = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"))
+    fps, _ = materialize(rows.groupBy("fp").agg(F.min(least).alias("rep"), F.count("*").alias("n")), "fps")
     labels, _ = materialize(connected_components(links(fps)), "labels")
     rooted = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     groups = rooted.groupBy("root").agg(F.min("rep").alias("rep"))
-    return rooted.select("fp", "root").join(groups, "root").select(
-        "fp", F.col("rep.doc_id").alias("component_id"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")
-    )
+    return rooted.select("fp", "n", "root").join(groups, "root").select("fp", "n", F.col("rep.doc_id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) per row of docs."""
     rows, _ = materialize(fingerprints(docs), "simhash")
-    found = rows.join(fingerprint_components(rows), "fp")
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs that kept (_id, _hash of the text) names, with their own columns; of equal rows one stays."""
-    keyed = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64(filled()).alias("_hash"))
-    same = (keyed["_id"].eqNullSafe(kept["_id"])) & (keyed["_hash"] == kept["_hash"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["_id", "_hash"]).select("_doc.*")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, with its own columns; of equal rows one stays."""
-    rows, _ = materialize(fingerprints(docs), "simhash")
-    return only(docs, fingerprint_components(rows).select(F.col("rep_id").alias("_id"), F.col("rep_hash").alias("_hash")).distinct())
+    found, _ = materialize(fingerprint_components(rows), "components")
+    n = rows.count()
+    hot = F.broadcast(found.filter(F.col("n") * HOT_SHARE >= n).select("fp", "component_id"))  # at most HOT_SHARE rows
+    joined = rows.join(hot, "fp").unionByName(rows.join(hot, "fp", "left_anti").join(found.select("fp", "component_id"), "fp"))
+    return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
