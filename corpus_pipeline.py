@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wherry.llm import mixing, near_copies, packing, quality_classifier, quality_rules, simhash
+from wherry.llm import mixing, packing, quality_classifier, quality_rules, simhash_groups
 from wherry.llm.common import documents, table
 from wherry.llm.queries import PACKING_VOCABULARY
 from wherry.session import materialize
@@ -29,13 +29,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.keep_one(docs)
-
-
-def shingle_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles: the near copies beyond three SimHash bits."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near copies: SimHash links, confirmed by four fifths of the five-word shingles."""
+    return simhash_groups.keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +47,6 @@ STAGES = [
     ("quality_rules", quality_rules_stage),
     ("quality_classifier", quality_classifier_stage),
     ("near_dedup", near_dedup_stage),
-    ("shingle_dedup", shingle_dedup_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
