@@ -651,7 +651,7 @@ def test_pages_equal_their_articles(spark, sf_dir):
 
 
 def test_markup_cases():
-    text = lambda page: html_extract.own_text(html_extract.page_lines(page), None)[0]
+    text = lambda page: html_extract.own_text(html_extract.page_lines(page), [])[0]
     assert text(None) == text("") == ""
     assert text("<article><h1>A &amp; B</h1><p>x\n  y<br>z<p>second<ul><li>i<li>j</ul></article><footer>f</footer>") == "A & B\nx y z\nsecond\ni\nj"
     assert text("<main><p>m</p><div class='cookie-notice'>c</div><section id=comments><p>r</p></section><form><p>f</p></form><aside>s</aside></main><p>out</p>") == "m"
@@ -667,10 +667,47 @@ def test_differencing_deletes_what_pages_of_a_host_share(spark):
     assert len(found) == 43
     assert all(found[k] == f"Story {k} is told here." for k in range(1, 40))
     assert found[99] == "Welcome to the site\nStory 99 is told here.\nAll about cookies" and found[100] == ""
-    assert found[0] == found[101] == ""  # a page and its exact copy share every line
+    # of a page and its copy, the one with another neighbour is differenced with that, the other keeps its lines
+    assert found[101] == "Story 0 is told here." and found[0] == page(0)[3:-4].replace("</p><p>", "\n")
 
 
-def test_shared_is_a_longest_common_subsequence():
+@pytest.mark.parametrize("parts", [1, 7, 211])
+def test_pages_are_complete_under_any_number_of_ranges(spark, sf_dir, parts, monkeypatch):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").drop("n")
+    monkeypatch.setattr(html_extract, "RANGE_ROWS", max(1, 50 // parts))
+    got = html_extract.extract_pages(pages.repartition(parts))
+    monkeypatch.setattr(html_extract, "RANGE_ROWS", 1000)
+    assert plain(got) == plain(html_extract.extract_pages(pages))
+
+
+def test_unmarked_pages_of_a_template(spark):
+    """Realistic pages without an article element: the template goes, own lines and quoted prose stay."""
+    quote = "It was said that " + " ".join(f"word{k}" for k in range(40)) + "."
+    def page(k):
+        body = f"<h1>Title {k}</h1><p>Body of page {k}, first part.<p>{quote if k % 2 else f'Another {k}.'}<p>Last words of {k}."
+        return f"<html><body><div class=top><a>Home</a> <a>About us</a></div><ul><li>News<li>Sport</ul>{body}<p>Subscribe today<div id=footer>Imprint</div><p>All rights reserved {k // 50}</body></html>"
+
+    rows = [(k, f"https://site.org/news/{k:03d}", page(k)) for k in range(60)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(60):
+        middle = quote if k % 2 else f"Another {k}."
+        want = f"Title {k}\nBody of page {k}, first part.\n{middle}\nLast words of {k}."
+        assert found[k] in (want, f"{want}\nAll rights reserved {k // 50}"), k
+
+
+def test_shared_lines_of_very_long_pages():
+    import time
+
+    began = time.process_time()
+    assert len(html_extract.shared([7] * 50_000, [7] * 50_000)) == 50_000
+    assert len(html_extract.shared([1] + [7] * 50_000 + [2], [3] + [7] * 50_000 + [4])) == 50_000
+    assert time.process_time() - began < 60
+    long_page = "<article>" + "<ul>" + "<li>same item</li>" * 20_000 + "</ul></article>"
+    text, n = html_extract.own_text(html_extract.page_lines(long_page), [html_extract.line_hashes(html_extract.page_lines(long_page))])
+    assert text.count("same item") == 20_000 and n == 0
+
+
+def test_shared_is_a_longest_common_subsequence(monkeypatch):
     def length(a, b):
         row = [0] * (len(b) + 1)
         for x in a:
@@ -681,7 +718,8 @@ def test_shared_is_a_longest_common_subsequence():
         return row[-1]
 
     r = random.Random(2)
-    for _ in range(300):
+    for k in range(600):
+        monkeypatch.setattr(html_extract, "DIRECT_BITS", 20 if k % 2 else 1 << 24)
         a, b = ([r.randrange(5) for _ in range(r.randrange(12))] for _ in range(2))
         at = sorted(html_extract.shared(a, b))
         rest = iter(b)

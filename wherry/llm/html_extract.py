@@ -1,36 +1,44 @@
 """Main text of web pages by differencing each page with its neighbours in URL order.
 
-Pages are ordered by host, URL path and page_id and dealt by range, so a large host is many tasks. Every page is parsed into lines
-(its blocks of text, white space folded); its lines are aligned with those of the page on its host with the nearest path
-(the longer common beginning of the two neighbours, the one before on ties) by longest common subsequence, and shared lines
-are deleted: what a site repeats from page to page is not the page's own text.
-
-Copies of an article, and passages that many articles quote, are shared lines too, and a menu or a footer may be
-unlike its neighbour's. So an exact check on the markup follows: lines inside a menu, header, footer, sidebar, notice, advert, form or
-reader comments are never kept; where the page marks its article (article, main, role main), shared lines of it are
-put back and lines outside are dropped. Where it marks none, the differencing decides alone.
-
-The first and last page of a task have a neighbour in another task; these two rows per task meet in one small window.
-
-Defined cases: a null html is empty and gives ''; a null or odd url has an empty host or path; equal rows are pages of
-their own; a page alone on its host loses nothing by differencing; empty tables give empty results; extra columns are ignored.
+Every page is parsed once into lines (its blocks of text, white space folded). Pages are ordered by host, URL path and page_id; a page's neighbours
+are the pages before and after it on its host, the one with the longer common beginning of the path first (the one before on ties). The
+page's lines are aligned with the neighbour's by longest common subsequence, and shared lines are deleted: what a site repeats from page to
+page is not the page's own text. If nothing would be left, the neighbour is a copy, and the other one is taken; if both are, nothing is deleted.
+
+Passages that many articles quote are shared lines too, and a menu or a footer may be unlike its neighbour's. So an exact check on the markup
+follows: lines inside a menu, header, footer, sidebar, notice, advert, form or reader comments are never kept; where the page marks its
+article (article, main, role main), shared lines of it are put back and lines outside are dropped. Where it marks none, the differencing
+decides, but for shared lines of PROSE_WORDS words and more, which are put back.
+
+The order is made on narrow rows (host, path, hashes): dealt by range into tables of about RANGE_ROWS rows, written once, so that every later step
+reads the same ranges; the driver holds the numbers of the ranges. The lines of a page, and the line hashes that go to its two neighbours, are
+joined by two hashes of the page, so no host is hot. A page is known by its values; equal rows are one page in the joins.
+
+Defined cases: a null html is empty and gives ''; a null or odd url has an empty host or path; of equal rows each gives a row; a page alone
+on its host loses nothing by differencing; a very long page is parsed and aligned whole, in linear space; empty tables give empty results;
+extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from os.path import commonprefix
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import slices
+from wherry.llm.common import groups_for, slices
+from wherry.session import materialize
+
+RANGE_ROWS = 50_000
+PROSE_WORDS = 25
+#: Beyond so many cells two lists of lines are split before they are aligned.
+DIRECT_BITS = 1 << 24
 
 #: Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -135,136 +143,137 @@ def page_lines(html: str | None) -> list[tuple[int, str]]:
     return parser.lines
 
 
-def shared(a: list[int], b: list[int]) -> set[int]:
-    """Positions in a of a longest common subsequence with b (Hunt and Szymanski's method)."""
-    places: dict[int, list[int]] = {}
+def _states(a: list[int], b: list[int]) -> Iterator[int]:
+    """After each element of a: the columns where the longest common subsequence with b does not grow, as bits."""
+    where: dict[int, int] = {}
     for j, x in enumerate(b):
-        places.setdefault(x, []).append(j)
-    ends: list[int] = []
-    links: list[tuple | None] = []
-    for i, x in enumerate(a):
-        for j in reversed(places.get(x, ())):
-            k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            else:
-                ends[k], links[k] = j, link
-    found, at = set(), links[-1] if links else None
-    while at:
-        found.add(at[0])
-        at = at[1]
-    return found
+        where[x] = where.get(x, 0) | 1 << j
+    whole = state = (1 << len(b)) - 1
+    for x in a:
+        same = state & where.get(x, 0)
+        state = ((state + same) | (state - same)) & whole
+        yield state
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """The length of a longest common subsequence of a and each beginning of b."""
+    state = (1 << len(b)) - 1
+    for state in _states(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(state.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _aligned(a: list[int], b: list[int], start: int) -> Iterator[int]:
+    if len(a) * len(b) > DIRECT_BITS and len(a) > 1:  # split where both halves together are longest
+        half = len(a) // 2
+        at = int(np.argmax(_lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]))
+        yield from shared(a[:half], b[:at], start)
+        yield from shared(a[half:], b[at:], start + half)
+        return
+    states, i, j = list(_states(a, b)), len(a), len(b)
+    while i and j:
+        if states[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or states[i - 1] >> (j - 1) & 1:
+            j -= 1
+            yield start + i
+
+
+def shared(a: list[int], b: list[int], start: int = 0) -> set[int]:
+    """Positions in a, counted from start, of a longest common subsequence with b."""
+    low, high = 0, min(len(a), len(b))
+    while low < high and a[low] == b[low]:
+        low += 1
+    tail = 0
+    while tail < high - low and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    ends = {*range(start, start + low), *range(start + len(a) - tail, start + len(a))}
+    return ends.union(_aligned(a[low : len(a) - tail], b[low : len(b) - tail], start + low))
 
 
 def line_hashes(lines: list[tuple[int, str]]) -> list[int]:
     return [xxhash.xxh64_intdigest(t) >> 1 for _, t in lines]
 
 
-def _common(a: str, b: str) -> int:
-    n = min(len(a), len(b))
-    return next((i for i in range(n) if a[i] != b[i]), n)
-
-
-def nearest(host: str, path: str, before: tuple | None, after: tuple | None) -> list[int] | None:
-    """The line hashes of the neighbour (host, path, hashes) on the same host with the nearest path."""
-    near = [x for x in (before, after) if x is not None and x[0] == host]
-    return max(near, key=lambda x: _common(path, x[1]))[2] if near else None
-
-
-def own_text(lines: list[tuple[int, str]], neighbour: list[int] | None) -> tuple[str, int]:
+def own_text(lines: list[tuple[int, str]], neighbours: list[list[int]], hashes: list[int] | None = None) -> tuple[str, int]:
     """The page's text after differencing and the check on markup, and how many lines differencing deleted."""
-    gone = shared(line_hashes(lines), list(neighbour)) if neighbour is not None else set()
+    hashes = line_hashes(lines) if hashes is None else hashes
+    gone: set[int] = set()
+    for other in neighbours:
+        gone = shared(hashes, other)
+        if any(zone != CHROME_LINE and i not in gone for i, (zone, _) in enumerate(lines)):
+            break
+    else:
+        gone = set()  # copies, or nothing but what is never kept
     marked = any(zone == MAIN_LINE for zone, _ in lines)
-    kept = [t for i, (zone, t) in enumerate(lines) if zone == MAIN_LINE or (zone == OPEN_LINE and not marked and i not in gone)]
+    open_ = lambda i, t: not marked and (i not in gone or len(t.split()) >= PROSE_WORDS)
+    kept = [t for i, (zone, t) in enumerate(lines) if zone == MAIN_LINE or (zone == OPEN_LINE and open_(i, t))]
     return "\n".join(kept), len(gone)
 
 
-PAGE = "page_id bigint, url string, host string, path string"
-RESULT = "page_id bigint, url string, text string, n_chars bigint, n_shared_lines bigint"
-NEIGHBOUR = "struct<host:string,path:string,hashes:array<bigint>>"
-EDGE = f"{PAGE}, task bigint, place int, zones array<int>, lines array<string>, hashes array<bigint>, inner {NEIGHBOUR}"
+RESULT = {"page_id": pa.int64(), "url": pa.string(), "text": pa.string(), "n_chars": pa.int64(), "n_shared_lines": pa.int64()}
+KEY = ["a", "b"]
 
 
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["a", "b", "page_id", "url"]
     for batch in slices(batches, "html"):
-        yield from zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "html")))
-
-
-def _result(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["page_id", "url", "text", "n_chars", "n_shared_lines"])
-
-
-def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every page of a task but its first and last."""
-    before = at = None
-    rows: list[tuple] = []
-    for page_id, url, host, path, html in _pages(batches):
-        lines = page_lines(html)
-        after = (host, path, line_hashes(lines), page_id, url, lines)
-        if before is not None:
-            text, n = own_text(at[5], nearest(at[0], at[1], before[:3], after[:3]))
-            rows.append((at[3], at[4], text, len(text), n))
-            if len(rows) >= 256:
-                yield _result(rows)
-                rows = []
-        before, at = at, after
-    yield _result(rows)
-
-
-def _edges(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-    """The first and last page of a task, each with its neighbour inside the task."""
-    first: list[tuple] = []
-    last: list[tuple] = []
-    for page in _pages(frames):
-        if len(first) < 2:
-            first.append(page)
-        last = [*last[-1:], page]
-
-    def row(place: int, page: tuple, other: tuple | None) -> dict:
-        lines = page_lines(page[4])
-        inner = {"host": other[2], "path": other[3], "hashes": line_hashes(page_lines(other[4]))} if other else None
-        return dict(zip(("page_id", "url", "host", "path"), page)) | {
-            "task": TaskContext.get().partitionId(), "place": place, "zones": [z for z, _ in lines], "lines": [t for _, t in lines],
-            "hashes": line_hashes(lines), "inner": inner,
-        }
-
-    rows = []
-    if len(first) == 1:
-        rows = [row(2, first[0], None)]
-    elif first:
-        rows = [row(0, first[0], first[1]), row(1, last[1], last[0])]
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("task", pa.int64()), ("place", pa.int32()), ("zones", pa.list_(pa.int32())), ("lines", pa.list_(pa.string())), ("hashes", pa.list_(pa.int64())), ("inner", pa.struct([("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64()))]))])
-    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages = [page_lines(html) for html in batch.column("html").to_pylist()]
+        columns = [pa.array([[z for z, _ in x] for x in pages], pa.list_(pa.int8())), pa.array([[t for _, t in x] for x in pages], pa.list_(pa.string())), pa.array([line_hashes(x) for x in pages], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=[*names, "zones", "lines", "hashes"])
+
+
+def _nearness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a page (a, b, host, path, before, after) -> rows (qa, qb) of its neighbours on the host, with a, b and rank."""
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            near = [x for x in (r["before"], r["after"]) if x is not None and x["host"] == r["host"]]
+            near.sort(key=lambda x: -len(commonprefix([r["path"], x["path"]])))
+            rows += [(x["a"], x["b"], r["a"], r["b"], rank) for rank, x in enumerate(near)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], pa.int64()) for k in range(5)], names=["qa", "qb", "a", "b", "rank"])
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            side = lambda x: (x["host"], x["path"], x["hashes"]) if x else None
-            before = side(r["inner"]) if r["place"] == 1 else side(r["before"])
-            after = side(r["inner"]) if r["place"] == 0 else side(r["after"])
-            text, n = own_text(list(zip(r["zones"], r["lines"])), nearest(r["host"], r["path"], before, after))
-            rows.append((r["page_id"], r["url"], text, len(text), n))
-        yield _result(rows)
+            text, n = own_text(list(zip(r["zones"], r["lines"])), [x["hashes"] for x in r["near"] or []], r["hashes"])
+            rows += [(r["page_id"], r["url"], text, len(text), n)] * r["n"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(RESULT.values())], names=list(RESULT))
+
+
+def _neighbours(pages: DataFrame) -> DataFrame:
+    """qa, qb, a, b, rank: the neighbours (qa, qb) of each page (a, b), nearest first, of pages (a, b, host, path, page_id, url)."""
+    order = ["host", "path", "page_id", "url", "a", "b"]
+    ranges = groups_for(pages.count(), RANGE_ROWS)
+    dealt, _ = materialize(pages.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "ranges")
+    numbers = sorted(r["range"] for r in dealt.select("range").distinct().collect())
+    page = F.struct("host", "path", "a", "b")
+    ends = dealt.groupBy("range").agg(F.min_by(page, F.struct(*order)).alias("first"), F.max_by(page, F.struct(*order)).alias("last"))
+    beside = pages.sparkSession.createDataFrame(list(zip(numbers, [None, *numbers], [*numbers[1:], None])), "range int, left int, right int")
+    lasts, firsts = ends.select(F.col("range").alias("left"), F.col("last").alias("before_range")), ends.select(F.col("range").alias("right"), F.col("first").alias("after_range"))
+    across = beside.join(lasts, "left", "left").join(firsts, "right", "left").select("range", "before_range", "after_range")
+    inside = Window.partitionBy("range").orderBy(*order)
+    rows = dealt.withColumns({"before": F.lag(page).over(inside), "after": F.lead(page).over(inside)}).join(across, "range")
+    placed = rows.select("a", "b", "host", "path", F.coalesce("before", "before_range").alias("before"), F.coalesce("after", "after_range").alias("after"))
+    return placed.mapInArrow(_nearness, "qa bigint, qb bigint, a bigint, b bigint, rank bigint")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and n_shared_lines (lines that differencing deleted at first) per row of pages."""
-    spark = pages.sparkSession
     pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
     url = F.coalesce("url", F.lit(""))
-    keyed = pages.select(
-        F.col("page_id").cast("bigint"), "url", F.lower(F.regexp_extract(url, pattern, 1)).alias("host"), F.regexp_extract(url, pattern, 2).alias("path"), "html"
-    )
-    key = ("host", "path", "page_id", "url")
-    placed = keyed.repartitionByRange(*key).sortWithinPartitions(*key)
-    inside = placed.mapInArrow(_inner, RESULT)
-    edges = placed.mapInArrow(_edges, EDGE)
-    across = Window.orderBy("task", "place")  # two rows per task
-    other = F.struct("host", "path", "hashes")
-    met = edges.withColumn("before", F.lag(other).over(across)).withColumn("after", F.lead(other).over(across))
-    return inside.unionByName(met.mapInArrow(_decide, RESULT))
+    known = [x for c in ("page_id", "url", "html") for x in (F.col(c), F.isnull(c))]  # a hash passes over nulls
+    hashes = [F.xxhash64(*known).alias("a"), F.xxhash64(F.lit("b"), *known).alias("b")]
+    address = [F.col("page_id").cast("bigint").alias("page_id"), F.col("url"), F.lower(F.regexp_extract(url, pattern, 1)).alias("host"), F.regexp_extract(url, pattern, 2).alias("path")]
+    rows, _ = materialize(pages.select(*hashes, *address).groupBy("a", "b", "page_id", "url", "host", "path").agg(F.count("*").alias("n")), "addresses")
+    parsed = pages.select(*hashes, *address[:2], F.col("html")).mapInArrow(_parsed, "a bigint, b bigint, page_id bigint, url string, zones array<tinyint>, lines array<string>, hashes array<bigint>").dropDuplicates(KEY)
+    wanted = _neighbours(rows.drop("n"))
+    sent = parsed.select(F.col("a").alias("qa"), F.col("b").alias("qb"), "hashes").join(wanted.hint("merge"), ["qa", "qb"]).select("a", "b", F.struct("rank", "hashes").alias("near"))
+    near = sent.groupBy(*KEY).agg(F.sort_array(F.collect_list("near")).alias("near"))  # two at most
+    both = parsed.join(rows.select(*KEY, "n").hint("merge"), KEY).join(near.hint("merge"), KEY, "left")
+    return both.drop(*KEY).mapInArrow(_decided, "page_id bigint, url string, text string, n_chars bigint, n_shared_lines bigint")
