@@ -8,11 +8,13 @@ word shapes that mark low quality are bounded and fit between two thresholds.
 Features: presence of lower-cased words without their outer punctuation, shares of word shapes (runs of letter case,
 digits and the marks themselves), and the share of words equal to the word before; all hashed to DIMENSIONS weights.
 
-Fit on at most `sample` labelled documents (a documented bound; chosen by hash of doc_id, texts of at most TRAIN_CHARS
-characters), whose feature lists come to the driver; the model is DIMENSIONS floats and goes out with the tasks. Scoring reads every whole text.
+Fit on at most `sample` labelled documents (a documented bound; chosen by hash of doc_id, whole texts), whose feature lists come to the driver: at
+most `sample` lists, none longer than DIMENSIONS. The model is DIMENSIONS floats and goes out with the tasks. Scoring reads every whole text.
 
-Defined cases: a null text is the empty text; labels without a document, and null labels, are left out; with fewer than two
-different grades the model keeps every document; one row per input row; empty tables give empty results.
+Defined cases: a null text is the empty text; labels without a document, and null labels, are left out; of several labels of a document the
+lowest grade counts; of several documents with a labelled doc_id, the one with the smallest hash of its text is fitted; with fewer than two
+different grades the model keeps every document; a very long text has one feature list like any other; one row per input row; empty tables
+give empty results.
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ from wherry.llm.common import filled, slices
 DIMENSIONS = 1 << 18
 GRADES = 3
 SAMPLE = 8_000
-TRAIN_CHARS = 100_000
 MIN_DOCUMENTS = 3
 LEAST_Z = 4.0
 THRESHOLD = 0.5
@@ -173,7 +174,7 @@ def _sample_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         found = [_HASHER.features(t) for t in frame["text"]]
         yield pd.DataFrame({
-            "doc_id": frame["doc_id"], "grade": frame["grade"],
+            "doc_id": frame["doc_id"], "grade": frame["grade"], "text_hash": frame["text_hash"],
             "indices": [np.fromiter(x.keys(), np.int32, len(x)) for x in found],
             "values": [np.fromiter(x.values(), np.float32, len(x)) for x in found],
         })
@@ -183,9 +184,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -
     """A model fitted on at most `sample` labelled documents."""
     graded = labels.select(F.col("doc_id").cast("bigint"), grade().alias("grade")).filter("doc_id is not null and grade is not null")
     chosen = graded.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).filter(F.length("text") <= TRAIN_CHARS)
+    texts = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     joined = texts.join(F.broadcast(chosen), "doc_id")  # at most `sample` rows of two numbers
-    rows = joined.mapInPandas(_sample_features, "doc_id bigint, grade int, indices array<int>, values array<float>").toPandas()
+    found = joined.mapInPandas(_sample_features, "doc_id bigint, grade int, text_hash bigint, indices array<int>, values array<float>")
+    one = found.groupBy("doc_id").agg(F.min(F.struct("text_hash", "grade", "indices", "values")).alias("x"))
+    rows = one.select("doc_id", "x.grade", "x.indices", "x.values").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     if rows.empty:
         return OrdinalModel()
