@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker takes at once, unless a single text is longer. Spark bounds what it sends by bytes, too.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: The characters that separate words: space, and tab to carriage return.
 WORD_SPACE = "\x20\t\n\x0b\x0c\r"

@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, free_name, groups_for
+from wherry.llm.common import filled, free_name, groups_for, slices
 from wherry.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -273,12 +274,16 @@ def mixed_documents(docs: DataFrame, most: float = MOST, **options) -> DataFrame
     both = keyed.join(spans.hint("merge"), ["a", "b", "other"])
     copies = int(np.ceil(most))
 
-    def expanded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = [_span_texts(t, [(int(s["skip"]), int(s["words"]), int(s["times"])) for s in found], copies) for t, found in zip(frame["text"], frame[parts])]
-            out = frame.drop(columns=parts).assign(text=texts).explode("text")
-            if "n_chars" in out:
-                out["n_chars"] = out["text"].map(len)
-            yield out
+    names, place = docs.columns, docs.columns.index("text")
 
-    return both.select("doc.*", F.col("spans").alias(parts)).mapInPandas(expanded, docs.schema)
+    def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            made = [_span_texts(t, [(s["skip"], s["words"], s["times"]) for s in found], copies) for t, found in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist())]
+            at, texts = pa.array([k for k, x in enumerate(made) for _ in x], pa.int64()), [t for x in made for t in x]
+            columns = [batch.column(k).take(at) for k in range(len(names))]
+            columns[place] = pa.array(texts, batch.column(place).type)
+            if "n_chars" in names:
+                columns[names.index("n_chars")] = pa.array([len(t) for t in texts], columns[names.index("n_chars")].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return both.select("doc.*", F.col("spans").alias(parts)).mapInArrow(expanded, docs.schema)

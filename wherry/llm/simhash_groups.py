@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wherry.llm.common import filled, slices
-from wherry.llm.simhash import covering_masks, fingerprint_of, links, shingle_hashes, signed
+from wherry.llm.simhash import SEED, covering_masks, fingerprint_of, links, shingle_hashes, signed
 from wherry.operators.components import connected_components
 from wherry.session import materialize
 
@@ -50,7 +50,8 @@ def shingle_set(text: str, words: int) -> tuple[int, np.ndarray]:
 
 def word_fingerprint(text: str) -> int:
     """The SimHash of a text's set of words."""
-    return fingerprint_of(np.unique(shingle_hashes(text, 1)))
+    different = set(text.encode().lower().split())
+    return fingerprint_of(np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in different), "<u8", len(different)))
 
 
 def _hashes(docs: DataFrame) -> list[Column]:
