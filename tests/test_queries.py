@@ -3,7 +3,7 @@
 import pytest
 from compare import same
 
-from wherry.plans.registry import ORACLES, QUERIES
+from wherry.plans import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Numbers that are placeholders, not people.
-PHONE_SEQUENCES = ("2345678901", "3456789012", "9876543210")
+#: Numbers that are placeholders, not people: counted up or down, or with seven equal digits at the end.
+PHONE_SEQUENCES = r"^(0123456789|1234567890|234567890[0-9]|9876543210)$"
+PHONE_REPEATS = r"(0000000|1111111|2222222|3333333|4444444|5555555|6666666|7777777|8888888|9999999)$"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -36,7 +37,7 @@ def nanp_phone(c: Column) -> Column:
     """+1 and ten digits for a valid North American number; null otherwise."""
     digits = F.regexp_replace(c, r"\D", "")
     ten = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)
-    valid = ten.rlike(r"^[2-9]\d{2}[2-9]\d{6}$") & (F.substring(ten, 4, 3) != "555") & ~ten.rlike(r"^(\d)\1{9}$") & ~ten.isin(*PHONE_SEQUENCES)
+    valid = ten.rlike(r"^[2-9]\d{2}[2-9]\d{6}$") & (F.substring(ten, 4, 3) != "555") & ~ten.rlike(PHONE_REPEATS) & ~ten.rlike(PHONE_SEQUENCES)
     return F.when(valid, F.concat(F.lit("+1"), ten))
 
 
@@ -66,6 +67,18 @@ def url_path(url: Column) -> Column:
     return F.when(path == "", F.lit("/")).otherwise(path)
 
 
+#: Channel -> the hosts, with any subdomain, that belong to it.
+CHANNEL_HOSTS = {
+    "meta": r"(^|\.)(facebook\.com|instagram\.com)$", "google": r"(^|\.)(google\.com|google\.[a-z]{2,3})$|^com\.google\.", "bing": r"(^|\.)(bing\.com)$",
+    "youtube": r"(^|\.)(youtube\.com|youtu\.be)$", "trustpilot": r"(^|\.)(trustpilot\.com)$",
+}
+
+
+def is_host_of(host: Column, channel: str) -> Column:
+    """Whether a host is one of a channel's or under it; null for null."""
+    return F.lower(host).rlike(CHANNEL_HOSTS[channel])
+
+
 def hash_key(*parts: Column) -> Column:
     """Lower-case MD5 of the parts joined by |; null if any part is."""
     return F.when(F.greatest(*[p.isNull() for p in parts]) if len(parts) > 1 else parts[0].isNull(), F.lit(None)).otherwise(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])))

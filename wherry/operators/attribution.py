@@ -72,10 +72,9 @@ def _reached(placed: DataFrame, conversions: DataFrame, measures: list[str]) ->
 
 
 def credits(touches: DataFrame, conversions: DataFrame, measures: list[str]) -> DataFrame:
-    """Per touch and measure the credit of every model, in time linear in touches plus conversions.
+    """Per touch and measure the credit of all six models, in time linear in touches plus conversions.
 
-    Columns: profile, touch_id, is_paid, and <model>_<measure> for first, last and multi. Conversions without a touch have a row
-    with touch_id null.
+    Columns: profile, touch_id, is_paid, and <model>_<measure> for each of MODELS. Conversions without a touch have a row with touch_id null.
     """
     placed = positions(touches)
     sums = _reached(placed, conversions, measures).groupBy("profile", "n_touches").agg(*[F.sum(m).alias(m) for m in measures])
@@ -83,7 +82,7 @@ def credits(touches: DataFrame, conversions: DataFrame, measures: list[str]) ->
     later = Window.partitionBy("profile").orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # every place beside the sums of the conversions that end there; suffix sums give what lies beyond
     both = placed.select("profile", F.col("place").cast("bigint").alias("n"), "touch_id", "is_paid").join(sums.filter("n_touches > 0").withColumnRenamed("n_touches", "n"), ["profile", "n"], "left")
-    out = {}
+    out, offline_out = {}, {}
     for m in measures:
         here, n = F.coalesce(F.col(m), F.lit(0.0)), F.col("n")
         beyond = F.sum(here).over(later) - here
@@ -94,6 +93,8 @@ def credits(touches: DataFrame, conversions: DataFrame, measures: list[str]) ->
         out[f"last_{m}"] = here
         own = F.when(n == 1, here).when(n == 2, here * 0.5).otherwise(here * 0.4)
         out[f"multi_{m}"] = own + F.when(n == 1, 0.5 * two + 0.4 * (beyond - two)).otherwise(middle)
-    touched = both.withColumns(out).select("profile", "touch_id", "is_paid", *out)
-    none = offline.select("profile", F.lit(None).cast(touched.schema["touch_id"].dataType).alias("touch_id"), F.lit(False).alias("is_paid"), *[F.coalesce(m, F.lit(0.0)).alias(k) for k, m in zip(out, [F.col(x) for x in measures for _ in range(3)])])
+        offline_out |= {f"{k}_{m}": F.coalesce(m, F.lit(0.0)) for k in ("first", "last", "multi")} | {f"{k}_paid_{m}": F.lit(0.0) for k in ("first", "last", "multi")}
+    paid = {f"{k}_paid_{m}": F.when(F.col("is_paid"), F.col(f"{k}_{m}")).otherwise(0.0) for m in measures for k in ("first", "last", "multi")}
+    touched = both.withColumns(out).select("profile", "touch_id", "is_paid", *out, *[c.alias(k) for k, c in paid.items()])
+    none = offline.select("profile", F.lit(None).cast(touched.schema["touch_id"].dataType).alias("touch_id"), F.lit(False).alias("is_paid"), *[c.alias(k) for k, c in offline_out.items()])
     return touched.unionByName(none)

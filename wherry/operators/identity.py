@@ -31,9 +31,9 @@ def priority(kind: Column, order: tuple[str, ...] = WINNER_ORDER) -> Column:
 
 
 def profiles(evidence: DataFrame, labels: DataFrame, order: tuple[str, ...] = WINNER_ORDER) -> DataFrame:
-    """(component, winner, profile_id, n_facts): the winner is the best kind, then the first seen, then the least value."""
+    """(component, winner, profile_id, n_facts): the winner is the best kind, then the first seen (never seen last), then the least value."""
     rows = evidence.join(labels, "key")
-    rank = F.struct(priority(F.split_part("key", F.lit(":"), F.lit(1)), order), F.col("seen_at"), F.col("key"))
+    rank = F.struct(priority(F.split_part("key", F.lit(":"), F.lit(1)), order), F.col("seen_at").isNull(), F.col("seen_at"), F.col("key"))
     named = rows.groupBy("component").agg(F.min_by("key", rank).alias("winner"), F.countDistinct("fact").alias("n_facts"))
     return named.withColumn("profile_id", F.md5("winner"))
 

@@ -33,17 +33,18 @@ def full_on(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 
 def as_of(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, columns: list[str], tie: str) -> DataFrame:
-    """Each left row with `columns` of the latest right row of its key at or before its time (null if none).
+    """Each left row with `columns` of the latest right row of its key at or before its time (null if none, or if a part of its key is null).
 
-    One union and one window: no row is paired with every earlier one.
+    One union and one window: no row is paired with every earlier one. Rows without a key go past the window.
     """
+    keyed = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in by])
     payload = F.struct(*[F.col(c) for c in columns])
     empty = F.lit(None).cast(right.select(payload.alias("p")).schema["p"].dataType)
     a = left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[tie].dataType).alias("_tie"), empty.alias("_p"), F.struct("*").alias("_l"))
     nothing = F.lit(None).cast(left.select(F.struct("*").alias("l")).schema["l"].dataType)
-    b = right.select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), payload.alias("_p"), nothing.alias("_l"))
+    b = right.filter(keyed).select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), payload.alias("_p"), nothing.alias("_l"))
     w = Window.partitionBy(*by).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = a.unionByName(b).withColumn("_p", F.last("_p", ignorenulls=True).over(w)).filter("_side = 1")
+    met = a.filter(keyed).unionByName(b).withColumn("_p", F.last("_p", ignorenulls=True).over(w)).filter("_side = 1").unionByName(a.filter(~keyed))
     return met.select("_l.*", *[F.col(f"_p.{c}").alias(c) for c in columns])
 
 

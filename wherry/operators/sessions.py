@@ -16,23 +16,27 @@ def visitor_key(anonymous: Column, user: Column, page: Column) -> Column:
     return F.coalesce(anonymous.cast("string"), user.cast("string"), page.cast("string"))
 
 
-def sessionize(pages: DataFrame, visitor: str = "visitor", time: str = "ts", page: str = "page_id", gap_micros: int = GAP_MICROS) -> DataFrame:
+def _keys(visitor: str | list[str]) -> list[str]:
+    return [visitor] if isinstance(visitor, str) else list(visitor)
+
+
+def sessionize(pages: DataFrame, visitor: str | list[str] = "visitor", time: str = "ts", page: str = "page_id", gap_micros: int = GAP_MICROS) -> DataFrame:
     """pages with session_number and session_id; rows without a time are dropped, equal times are ordered by page.
 
-    One exchange on the visitor; all three windows share its order.
+    One exchange on the visitor; all three windows share its order. `visitor` may be several columns, such as tenant and visitor.
     """
-    w = Window.partitionBy(visitor).orderBy("_at", page)
+    w = Window.partitionBy(*_keys(visitor)).orderBy("_at", page)
     at = micros(time)
     rows = pages.filter(F.col(time).isNotNull()).withColumn("_at", at)
     starts = F.when(F.lag("_at").over(w).isNull() | (F.col("_at") - F.lag("_at").over(w) >= gap_micros), 1).otherwise(0)
     numbered = rows.withColumn("_start", starts).withColumn("session_number", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.withColumn("session_id", hash_key(F.col(visitor), F.col("session_number"))).drop("_start", "_at")
+    return numbered.withColumn("session_id", hash_key(*[F.col(c) for c in _keys(visitor)], F.col("session_number"))).drop("_start", "_at")
 
 
-def session_rollup(sessions: DataFrame, visitor: str = "visitor", time: str = "ts", page: str = "page_id", carried: tuple[str, ...] = ()) -> DataFrame:
+def session_rollup(sessions: DataFrame, visitor: str | list[str] = "visitor", time: str = "ts", page: str = "page_id", carried: tuple[str, ...] = ()) -> DataFrame:
     """One row per session: first and last page, pages, start, end and seconds, and the first page's `carried` columns."""
     key = F.struct(F.col(time), F.col(page))
-    rolled = sessions.groupBy(visitor, "session_number", "session_id").agg(
+    rolled = sessions.groupBy(*_keys(visitor), "session_number", "session_id").agg(
         F.min_by(page, key).alias("first_page"), F.max_by(page, key).alias("last_page"), F.count("*").alias("n_pages"),
         F.min(time).alias("session_start"), F.max(time).alias("session_end"),
         *[F.min_by(c, key).alias(c) for c in carried],
@@ -49,12 +53,12 @@ def revision(old: DataFrame, new: DataFrame, key: str = "session_id") -> DataFra
     return a.join(b, key, "full").filter(~F.col("old_hash").eqNullSafe(F.col("new_hash"))).select(key, change.alias("change"))
 
 
-def dirty_visitors(pages: DataFrame, since: int | None, built: DataFrame | None, visitor: str = "visitor", ingested: str = "ingested_at", upto: int | None = None) -> DataFrame:
+def dirty_visitors(pages: DataFrame, since: int | None, built: DataFrame | None, visitor: str | list[str] = "visitor", ingested: str = "ingested_at", upto: int | None = None) -> DataFrame:
     """Visitors to rebuild: with pages ingested in (since, upto], or with pages but no built session."""
     new = pages.filter((F.col(ingested) > since) if since is not None else F.lit(True))
     if upto is not None:
         new = new.filter(F.col(ingested) <= upto)
-    found = new.select(visitor)
+    found = new.select(*_keys(visitor))
     if built is not None:
-        found = found.unionByName(pages.select(visitor).join(built.select(visitor), visitor, "left_anti"))
+        found = found.unionByName(pages.select(*_keys(visitor)).join(built.select(*_keys(visitor)), _keys(visitor), "left_anti"))
     return found.distinct()

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wherry.functions.calendar import weighted
-from wherry.operators.attribution import MODELS, credits, is_direct, is_paid, journeys, positions
+from wherry.functions.text import is_host_of
+from wherry.operators.attribution import MODELS, credits, is_paid, journeys, positions
 from wherry.operators.versions import latest_by
 from wherry.plans.registry import query
 from wherry.plans.sessions import TOUCH_SQL, touchpoints
@@ -30,15 +31,28 @@ JOURNEY_SQL = TOUCH_SQL + """,
   w0 AS (SELECT *, CASE WHEN touch_id IS NULL OR place = 1 THEN 1.0 ELSE 0.0 END AS f, CASE WHEN touch_id IS NULL OR place = n THEN 1.0 ELSE 0.0 END AS l,
     CASE WHEN touch_id IS NULL OR n = 1 THEN 1.0 WHEN n = 2 THEN 0.5 WHEN place = 1 OR place = n THEN 0.4 ELSE 0.2 / (n - 2) END::DOUBLE AS m, coalesce(is_paid, false) AS paid FROM pairs),
   weights AS (SELECT *, CASE WHEN paid THEN f ELSE 0.0 END AS fp, CASE WHEN paid THEN l ELSE 0.0 END AS lp, CASE WHEN paid THEN m ELSE 0.0 END AS mp FROM w0)"""
-LABEL_SQL = "CASE WHEN touch_id IS NULL THEN 'offline' WHEN paid THEN 'paid ' || source WHEN source = 'direct' THEN 'direct' WHEN medium = 'organic' THEN 'organic' WHEN medium = 'referral' THEN 'referral' ELSE 'other' END"
+LABEL_SQL = r"""CASE WHEN touch_id IS NULL THEN 'unattributed' WHEN source = 'meta' AND medium IN ('paid', 'cpc', 'ppc', 'paid_social') THEN 'meta / paid'
+  WHEN source = 'meta' AND medium IN ('referral', 'social', 'organic') OR regexp_matches(lower(source), '(^|\.)(facebook\.com|instagram\.com)$') THEN 'meta / organic'
+  WHEN source = 'google' AND medium IN ('referral', 'organic') OR regexp_matches(lower(source), '(^|\.)(google\.com|google\.[a-z]{2,3})$') OR starts_with(lower(source), 'com.google.') THEN 'google / organic'
+  WHEN source = 'bing' AND medium IN ('referral', 'organic') OR regexp_matches(lower(source), '(^|\.)(bing\.com)$') THEN 'bing / organic'
+  WHEN source = 'youtube' AND medium IN ('referral', 'organic') OR regexp_matches(lower(source), '(^|\.)(youtube\.com|youtu\.be)$') THEN 'youtube / organic'
+  WHEN source = 'trustpilot' AND medium IN ('company_profile', 'referral') OR regexp_matches(lower(source), '(^|\.)(trustpilot\.com)$') OR lower(source) = 'trustpilot' THEN 'trustpilot / referral'
+  ELSE source || ' / ' || medium END"""
+
+#: Channel -> the mediums under which its name counts as unpaid.
+UNPAID_MEDIUMS = {"meta": ("referral", "social", "organic"), "google": ("referral", "organic"), "bing": ("referral", "organic"), "youtube": ("referral", "organic"), "trustpilot": ("company_profile", "referral")}
 
 
 def channel_label() -> Column:
-    paid = F.coalesce(F.col("is_paid"), F.lit(False))
-    return (
-        F.when(F.col("touch_id").isNull(), "offline").when(paid, F.concat(F.lit("paid "), F.col("source"))).when(is_direct(), "direct")
-        .when(F.col("medium") == "organic", "organic").when(F.col("medium") == "referral", "referral").otherwise("other")
-    )
+    """The name that reports show for a touch: a channel by name and medium or by host, else source / medium."""
+    source, medium = F.col("source"), F.col("medium")
+    label = F.when(F.col("touch_id").isNull(), "unattributed").when((source == "meta") & medium.isin("paid", "cpc", "ppc", "paid_social"), "meta / paid")
+    for channel, mediums in UNPAID_MEDIUMS.items():
+        named = (source == channel) & medium.isin(*mediums) | is_host_of(source, channel)
+        if channel == "trustpilot":
+            named = named | (F.lower(source) == channel)
+        label = label.when(named, f"{channel} / {'referral' if channel == 'trustpilot' else 'organic'}")
+    return label.otherwise(F.concat(source, F.lit(" / "), medium))
 
 
 @query(f"WITH {JOURNEY_SQL} SELECT conversion_id, touch_id, CAST(place AS BIGINT) AS place, n AS n_touches, f AS first_weight, l AS last_weight, round(m, 9) AS multi_weight, fp AS first_paid_weight, lp AS last_paid_weight, round(mp, 9) AS multi_paid_weight FROM weights")

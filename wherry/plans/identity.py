@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wherry.operators.identity import components, profiles, resolve
@@ -74,6 +74,4 @@ def search_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EVIDENCE_SQL} SELECT key, min(fact) AS first_fact, count(*) AS n_facts FROM evidence GROUP BY 1 HAVING count(*) > 1")
 def shared_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("key")
-    rows = evidence(spark, sf_dir).select("key", F.min("fact").over(w).alias("first_fact"), F.count("*").over(w).alias("n_facts"))
-    return rows.filter("n_facts > 1").distinct()
+    return evidence(spark, sf_dir).groupBy("key").agg(F.min("fact").alias("first_fact"), F.count("*").alias("n_facts")).filter("n_facts > 1")

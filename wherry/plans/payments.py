@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wherry.functions.calendar import net_price
@@ -23,17 +23,26 @@ _PAYMENT_SQL = """payments AS (SELECT o_orderkey AS payment_id, o_custkey AS cus
   row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS sequence FROM orders)"""
 
 
-@query(f"""WITH {_PAYMENT_SQL}, r AS (SELECT *, CASE WHEN kind <> 'once' AND o_orderstatus = 'P' THEN 'balance' WHEN kind = 'subscription' AND sequence = 1 THEN 'initial' WHEN kind = 'plan' THEN 'installment' WHEN kind = 'once' THEN 'one_time' ELSE 'renewal' END AS occurrence,
-    CASE WHEN kind = 'subscription' THEN CASE WHEN sequence = 1 THEN 'subscription_create' WHEN o_orderstatus = 'F' THEN 'subscription_cycle' END END AS reason FROM payments)
-  SELECT payment_id, kind, sequence, occurrence, occurrence = 'balance' OR (kind = 'once' AND sequence > 1) OR (kind = 'subscription' AND coalesce(reason <> 'subscription_create', true)) AS is_repeat FROM r""")
+@query(f"""WITH {_PAYMENT_SQL}, r AS (SELECT *, CASE WHEN is_balance THEN 'balance' WHEN kind = 'plan' AND by_link AND sequence = 1 THEN 'initial' WHEN kind = 'plan' AND by_link THEN 'installment' WHEN kind = 'once' THEN 'one_time'
+    WHEN reason = 'subscription_create' THEN 'initial' WHEN kind = 'plan' THEN 'installment' ELSE 'renewal' END AS occurrence
+    FROM (SELECT *, kind <> 'once' AND o_orderstatus = 'P' AS is_balance, payment_id % 2 = 0 AS by_link, CASE WHEN kind <> 'once' AND payment_id % 3 > 0 THEN CASE WHEN payment_id % 3 = 1 THEN 'subscription_create' ELSE 'subscription_cycle' END END AS reason FROM payments))
+  SELECT payment_id, kind, sequence, reason, occurrence, is_balance OR (kind = 'plan' AND by_link AND sequence > 1) OR (kind <> 'once' AND coalesce(reason <> 'subscription_create', true)) AS is_repeat FROM r""")
 def payment_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occurrence by the first rule that matches; a subscription payment without a reason counts as a repeat."""
-    kind, sequence, status = F.col("kind"), F.col("sequence"), F.col("o_orderstatus")
-    occurrence = F.when((kind != "once") & (status == "P"), "balance").when((kind == "subscription") & (sequence == 1), "initial").when(kind == "plan", "installment").when(kind == "once", "one_time").otherwise("renewal")
-    reason = F.when(kind == "subscription", F.when(sequence == 1, "subscription_create").when(status == "F", "subscription_cycle"))
-    rows = payments(spark, sf_dir).withColumn("occurrence", occurrence).withColumn("reason", reason)
-    repeat = (F.col("occurrence") == "balance") | ((kind == "once") & (sequence > 1)) | ((kind == "subscription") & F.coalesce(F.col("reason") != "subscription_create", F.lit(True)))
-    return rows.select("payment_id", "kind", "sequence", "occurrence", repeat.alias("is_repeat"))
+    """Occurrence by the first rule that matches: instalments through the plan's link by their number, others by the billing reason.
+
+    A payment of a subscription or plan without a reason counts as a repeat.
+    """
+    kind, sequence, number = F.col("kind"), F.col("sequence"), F.col("payment_id")
+    reason = F.when((kind != "once") & (number % 3 > 0), F.when(number % 3 == 1, "subscription_create").otherwise("subscription_cycle"))
+    rows = payments(spark, sf_dir).withColumn("reason", reason)
+    balance, linked = (kind != "once") & (F.col("o_orderstatus") == "P"), (kind == "plan") & (number % 2 == 0)
+    created = F.coalesce(F.col("reason") == "subscription_create", F.lit(False))
+    occurrence = (
+        F.when(balance, "balance").when(linked & (sequence == 1), "initial").when(linked, "installment").when(kind == "once", "one_time")
+        .when(created, "initial").when(kind == "plan", "installment").otherwise("renewal")
+    )
+    repeat = balance | (linked & (sequence > 1)) | ((kind != "once") & ~created)
+    return rows.select("payment_id", "kind", "sequence", "reason", occurrence.alias("occurrence"), repeat.alias("is_repeat"))
 
 
 @query(f"""WITH {_PAYMENT_SQL}, p AS (SELECT *, min(paid_at) OVER w AS started, lag(paid_at) OVER (PARTITION BY customer ORDER BY paid_at, payment_id) AS earlier, count(*) OVER w AS n_payments FROM payments WHERE kind = 'plan' WINDOW w AS (PARTITION BY customer))
@@ -117,3 +126,68 @@ def canonical_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     email = F.when(F.col("c_mktsegment") != "MACHINERY", F.concat(F.lower("c_name"), F.lit("@example.org")))
     day = F.concat(F.lit("2024-01-"), F.lpad((1 + F.col("c_custkey") % 28).cast("string"), 2, "0"))
     return load(spark, sf_dir, "customer").select("c_custkey", F.when(email.isNotNull(), F.sha2(F.concat_ws("|", email, F.lit("vip"), day), 256)).alias("canonical_id"))
+
+
+#: Configuration: rule -> (name, how it was found, category); the rules themselves are in `product_rules`, first match wins.
+PRODUCT_RULES = {
+    "vip": ("Challenge VIP", "charge_amount_and_text", "vip"), "book": ("Book", "charge_statement_descriptor", "book"), "deposit": ("Program deposit", "charge_description_and_amount", "mentorship"),
+    "balance": ("Program balance", "invoice_status", "mentorship"), "installments": ("Program in instalments", "plan_or_catalog", "mentorship"), "catalog_product": (None, "catalog", "catalog"), "unclassified": ("unclassified", "unclassified", "unknown"),
+}
+
+
+def product_rules() -> Column:
+    """The first rule that matches a payment with its text, kind, status, amount and catalog name."""
+    text, plan = F.lower(F.coalesce("product_text", F.lit(""))), F.col("kind") == "plan"
+    return (
+        F.when(text.contains("promo") & (F.col("amount") < 150_000), "vip").when(text.contains("economy"), "book").when(plan & (F.col("amount") < 50_000), "deposit").when(plan & (F.col("o_orderstatus") == "P"), "balance")
+        .when(plan, "installments").when(F.col("catalog_name").isNotNull(), "catalog_product").otherwise("unclassified")
+    )
+
+
+def related_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice rows as an export repeats them: an early state of each and, for two thirds, a later one."""
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("payment_id"))
+    states = F.array(F.struct(F.lit(1).alias("version"), F.lit("draft").alias("state")), F.struct(F.lit(2).alias("version"), F.when(F.col("payment_id") % 2 == 0, "paid").otherwise("open").alias("state")))
+    return o.select("payment_id", F.inline(F.slice(states, F.lit(1), F.when(F.col("payment_id") % 3 == 0, 1).otherwise(2))))
+
+
+_ADAPTER_SQL = f"""{_PAYMENT_SQL},
+  objects AS (SELECT o_orderkey AS payment_id, 1 AS version, 'draft' AS state FROM orders UNION ALL SELECT o_orderkey, 2, CASE WHEN o_orderkey % 2 = 0 THEN 'paid' ELSE 'open' END FROM orders WHERE o_orderkey % 3 <> 0),
+  invoice AS (SELECT payment_id, arg_max(state, version) AS invoice_state, count(*) AS n_states FROM objects GROUP BY 1),
+  line AS (SELECT l_orderkey, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1),
+  enriched AS (SELECT p.*, invoice_state, n_states, p_type AS product_text, CASE WHEN p_size < 40 THEN p_name END AS catalog_name FROM payments p LEFT JOIN invoice i ON i.payment_id = p.payment_id LEFT JOIN line l ON l.l_orderkey = p.payment_id LEFT JOIN part ON p_partkey = l.l_partkey),
+  ruled AS (SELECT *, lower(coalesce(product_text, '')) AS t, CASE WHEN contains(lower(coalesce(product_text, '')), 'promo') AND amount < 150000 THEN 'vip' WHEN contains(lower(coalesce(product_text, '')), 'economy') THEN 'book'
+    WHEN kind = 'plan' AND amount < 50000 THEN 'deposit' WHEN kind = 'plan' AND o_orderstatus = 'P' THEN 'balance' WHEN kind = 'plan' THEN 'installments' WHEN catalog_name IS NOT NULL THEN 'catalog_product' ELSE 'unclassified' END AS product_rule FROM enriched)"""
+
+
+def adapted_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments with the latest state of their related objects and the rule that says what was bought."""
+    objects = related_objects(spark, sf_dir).groupBy("payment_id").agg(F.max_by("state", "version").alias("invoice_state"), F.count("*").alias("n_states"))
+    lines = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("payment_id")).agg(F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("p_partkey"))
+    part = load(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("product_text"), F.when(F.col("p_size") < 40, F.col("p_name")).alias("catalog_name"))
+    rows = payments(spark, sf_dir).join(objects, "payment_id", "left").join(lines, "payment_id", "left").join(part, "p_partkey", "left")
+    return rows.withColumn("product_rule", product_rules())
+
+
+@query(f"WITH {_ADAPTER_SQL} SELECT payment_id, invoice_state, n_states, product_text, catalog_name FROM enriched")
+def payment_related_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapted_payments(spark, sf_dir).select("payment_id", "invoice_state", "n_states", "product_text", "catalog_name")
+
+
+@query(f"""WITH {_ADAPTER_SQL} SELECT payment_id, product_rule, CASE product_rule WHEN 'vip' THEN 'Challenge VIP' WHEN 'book' THEN 'Book' WHEN 'deposit' THEN 'Program deposit' WHEN 'balance' THEN 'Program balance' WHEN 'installments' THEN 'Program in instalments' WHEN 'catalog_product' THEN catalog_name ELSE 'unclassified' END AS product_name,
+  CASE WHEN product_rule = 'book' THEN 'Book' || CASE WHEN contains(t, 'brushed') THEN ' + brushed' WHEN contains(t, 'plated') THEN ' + plated' ELSE '/no label' END || CASE WHEN contains(t, 'steel') THEN ' + steel' ELSE '' END END AS product_variant,
+  CASE product_rule WHEN 'vip' THEN 'charge_amount_and_text' WHEN 'book' THEN 'charge_statement_descriptor' WHEN 'deposit' THEN 'charge_description_and_amount' WHEN 'balance' THEN 'invoice_status' WHEN 'installments' THEN 'plan_or_catalog' WHEN 'catalog_product' THEN 'catalog' ELSE 'unclassified' END AS classification_method FROM ruled""")
+def payment_product_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule, name, variant and method of each payment."""
+    text, rule = F.lower(F.coalesce("product_text", F.lit(""))), F.col("product_rule")
+    told = lambda at: F.create_map(*[x for name, values in PRODUCT_RULES.items() for x in (F.lit(name), F.lit(values[at]))])[rule]
+    variant = F.concat(F.lit("Book"), F.when(text.contains("brushed"), " + brushed").when(text.contains("plated"), " + plated").otherwise("/no label"), F.when(text.contains("steel"), " + steel").otherwise(""))
+    name = F.when(rule == "catalog_product", F.col("catalog_name")).otherwise(told(0))
+    return adapted_payments(spark, sf_dir).select("payment_id", "product_rule", name.alias("product_name"), F.when(rule == "book", variant).alias("product_variant"), told(1).alias("classification_method"))
+
+
+@query(f"WITH {_ADAPTER_SQL} SELECT CASE WHEN product_rule = 'vip' THEN 'vip' WHEN product_rule = 'book' THEN 'book' WHEN product_rule IN ('deposit', 'balance', 'installments') THEN 'mentorship' WHEN product_rule = 'catalog_product' THEN 'catalog' ELSE 'unknown' END AS category, count(*) AS n_payments, CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM ruled GROUP BY 1")
+def payment_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments and amounts by reporting category."""
+    category = F.create_map(*[x for name, (_, _, kind) in PRODUCT_RULES.items() for x in (F.lit(name), F.lit(kind))])[F.col("product_rule")]
+    return adapted_payments(spark, sf_dir).groupBy(category.alias("category")).agg(F.count("*").alias("n_payments"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total"))

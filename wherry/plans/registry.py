@@ -7,7 +7,6 @@ that gives the same rows, where SQL can express it.
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +24,3 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         return f
 
     return register
-
-
-for _module in ("relational", "aggregates", "sessions", "attribution", "channels", "identity", "versions", "payments", "marts", "rules", "incremental"):
-    import_module(f"wherry.plans.{_module}")

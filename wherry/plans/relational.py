@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wherry.operators.joins import as_of, full_on, left_any, null_safe, page_after, policy_join
@@ -93,10 +93,11 @@ def null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT a.event_id AS purchase_id, count(*) AS n_before FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts <= a.ts AND b.event_type = 'click'
           WHERE a.event_type = 'purchase' GROUP BY 1""")
 def theta_join_on_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events")
-    a = events.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("at"))
-    b = events.filter("event_type = 'click'").select("user_id", "ts")
-    return a.join(b, "user_id").filter("ts <= at").groupBy("purchase_id").agg(F.count("*").alias("n_before"))
+    """Clicks of the user up to each purchase: a running count over both, not their pairs."""
+    events = load(spark, sf_dir, "events").filter("event_type in ('purchase', 'click') and user_id is not null and ts is not null")
+    upto = Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = events.select("event_type", F.col("event_id").alias("purchase_id"), F.count_if(F.col("event_type") == "click").over(upto).alias("n_before"))
+    return counted.filter("event_type = 'purchase' and n_before > 0").select("purchase_id", "n_before")
 
 
 @query("""SELECT p.event_id, c.event_id AS click_id, c.value AS click_value FROM (SELECT * FROM events WHERE event_type = 'purchase') p

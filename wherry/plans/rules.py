@@ -32,7 +32,7 @@ def touchpoint_profile_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"""WITH {CONTACT_SQL}, n AS (SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN lower(trim(email)) END AS email, regexp_replace(phone, '\D', '', 'g') AS digits FROM contact),
   t AS (SELECT *, CASE WHEN length(digits) = 11 AND digits[1] = '1' THEN digits[2:] ELSE digits END AS ten FROM n)
-  SELECT c_custkey, coalesce('email:' || email, CASE WHEN regexp_matches(ten, '^[2-9][0-9]{{2}}[2-9][0-9]{{6}}$') AND ten[4:6] <> '555' AND ten <> repeat(ten[1], 10) AND ten NOT IN ('2345678901', '3456789012', '9876543210') THEN 'phone:+1' || ten END) AS anchor FROM t""")
+  SELECT c_custkey, coalesce('email:' || email, CASE WHEN regexp_matches(ten, '^[2-9][0-9]{{2}}[2-9][0-9]{{6}}$') AND ten[4:6] <> '555' AND ten[4:10] <> repeat(ten[10], 7) AND ten NOT IN ('0123456789', '1234567890', '9876543210') AND ten[1:9] <> '234567890' THEN 'phone:+1' || ten END) AS anchor FROM t""")
 def payment_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The email key, else the key of a valid phone, else none."""
     email = F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("email:"), lowered_key(F.col("email"))))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wherry.functions.text import hash_key
 from wherry.operators.sessions import session_rollup as rollup
 from wherry.operators.sessions import sessionize, visitor_key
 from wherry.plans.registry import query
-from wherry.sources.tables import load
+from wherry.sources.tables import load, micros
 
 
 def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def touchpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(k % 5 == 0, "direct").when(k % 5 == 1, "google").when(k % 5 == 2, "meta").when(k % 5 == 3, "bing").otherwise("site")
     medium = F.when(k % 5 == 0, "none").when(k % 5 == 1, "cpc").when(k % 5 == 2, "paid").when(k % 5 == 3, "organic").otherwise("referral")
     return sessions.select(
-        hash_key(F.lit("session"), F.col("session_id")).alias("touch_id"), F.col("visitor").alias("profile"), F.col("session_start").alias("touch_time"), "session_id", "n_pages", "seconds",
+        hash_key(F.col("session_id"), F.lit("website_session")).alias("touch_id"), F.col("visitor").alias("profile"), F.col("session_start").alias("touch_time"), "session_id", "n_pages", "seconds",
         source.alias("source"), medium.alias("medium"), F.when(k % 13 != 0, F.concat(F.lit("c"), k % 7)).alias("campaign"), F.when(k % 11 != 0, F.concat(F.lit("a"), k % 3)).alias("ad"),
     )
 
@@ -38,7 +38,7 @@ SESSION_SQL = """pages AS (SELECT event_id AS page_id, CAST(user_id AS VARCHAR)
   sessions AS (SELECT visitor, session_number, session_id, arg_min(page_id, (ts, page_id)) AS first_page, arg_max(page_id, (ts, page_id)) AS last_page, count(*) AS n_pages, min(ts) AS session_start, max(ts) AS session_end,
     arg_min(k, (ts, page_id)) AS k, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS seconds FROM named GROUP BY ALL)"""
 TOUCH_SQL = SESSION_SQL + """,
-  touches AS (SELECT md5('session|' || session_id) AS touch_id, visitor AS profile, session_start AS touch_time, session_id, n_pages, seconds,
+  touches AS (SELECT md5(session_id || '|website_session') AS touch_id, visitor AS profile, session_start AS touch_time, session_id, n_pages, seconds,
     CASE k % 5 WHEN 0 THEN 'direct' WHEN 1 THEN 'google' WHEN 2 THEN 'meta' WHEN 3 THEN 'bing' ELSE 'site' END AS source,
     CASE k % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'cpc' WHEN 2 THEN 'paid' WHEN 3 THEN 'organic' ELSE 'referral' END AS medium,
     CASE WHEN k % 13 <> 0 THEN 'c' || (k % 7) END AS campaign, CASE WHEN k % 11 <> 0 THEN 'a' || (k % 3) END AS ad FROM sessions)"""
@@ -59,12 +59,27 @@ def session_touchpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return touchpoints(spark, sf_dir)
 
 
-@query(f"WITH {TOUCH_SQL} SELECT t.touch_id, t.profile, f.first_seen, t.touch_time = f.first_seen AS is_first_click FROM touches t JOIN (SELECT profile, campaign, min(touch_time) AS first_seen FROM touches WHERE campaign IS NOT NULL GROUP BY ALL) f ON t.profile = f.profile AND t.campaign = f.campaign")
+@query(f"""WITH {TOUCH_SQL}, c AS (SELECT *, CASE WHEN source = 'meta' THEN concat_ws('-', campaign, ad) END AS fbclid, profile[-1:] AS tenant FROM touches)
+  SELECT touch_id, tenant, fbclid, min(touch_time) OVER w AS first_seen, CASE WHEN fbclid IS NOT NULL THEN 'fb.1.' || epoch_us(min(touch_time) OVER w) // 1000 || '.' || fbclid END AS fbc FROM c WINDOW w AS (PARTITION BY tenant, fbclid)""")
 def first_seen_click(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each touchpoint with the time its campaign click was first seen for the profile."""
-    first = F.min("touch_time").over(Window.partitionBy("profile", "campaign"))
-    rows = touchpoints(spark, sf_dir).filter("campaign is not null").withColumn("first_seen", first)
-    return rows.select("touch_id", "profile", "first_seen", (F.col("touch_time") == F.col("first_seen")).alias("is_first_click"))
+    """Each touchpoint with the time its click id was first seen for the tenant, by anyone, and the cookie made of both; none without a click id.
+
+    The times are a grouped table, joined back: a click id that many share is summed before the shuffle.
+    """
+    rows = touchpoints(spark, sf_dir).withColumn("fbclid", F.when(F.col("source") == "meta", F.concat_ws("-", "campaign", "ad"))).withColumn("tenant", F.right("profile", F.lit(1)))
+    times = rows.groupBy("tenant", "fbclid").agg(F.min("touch_time").alias("first_seen"))
+    found = rows.alias("r").join(times.alias("t"), F.expr("r.tenant = t.tenant and r.fbclid <=> t.fbclid"))
+    cookie = F.concat(F.lit("fb.1."), F.floor(micros("first_seen") / 1000), F.lit("."), F.col("r.fbclid"))
+    return found.select("touch_id", "r.tenant", "r.fbclid", "first_seen", cookie.alias("fbc"))
+
+
+@query(f"""WITH {SESSION_SQL.replace("CAST(user_id AS VARCHAR) AS visitor", "(user_id % 3) || ':' || (user_id // 3) AS visitor")} SELECT CAST(split_part(visitor, ':', 1) AS BIGINT) AS tenant, split_part(visitor, ':', 2) AS visitor, session_number, md5(split_part(visitor, ':', 1) || '|' || split_part(visitor, ':', 2) || '|' || session_number) AS session_id, n_pages, session_start FROM sessions""")
+def tenant_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of several tenants whose visitors have the same names: the tenant is part of every key."""
+    rows = load(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+    pages = rows.select((F.col("user_id") % 3).alias("tenant"), F.floor(F.col("user_id") / 3).cast("string").alias("visitor"), F.col("event_id").alias("page_id"), "ts")
+    rolled = rollup(sessionize(pages, ["tenant", "visitor"]), ["tenant", "visitor"])
+    return rolled.select("tenant", "visitor", "session_number", "session_id", "n_pages", "session_start")
 
 
 @query(f"WITH {SESSION_SQL} SELECT n_pages > 1 OR seconds >= 10 AS engaged, count(*) AS n, count(*) FILTER (WHERE n_pages = 1) AS n_bounced, round(avg(seconds), 4) AS mean_seconds FROM sessions GROUP BY 1")

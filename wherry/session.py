@@ -28,12 +28,14 @@ def build_session(app: str = "wherry", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder all executors share; a temporary one is set only where none is named."""
+    """The checkpoint folder all executors share. Where none is named, a local session gets a temporary one; on a cluster that is an error."""
     jsc = spark.sparkContext._jsc.sc()
     found = jsc.getCheckpointDir()
     if found.isDefined():
         return found.get()
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir to one that the driver and all executors can reach")
     spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="wherry-checkpoint-"))
     return jsc.getCheckpointDir().get()
 
