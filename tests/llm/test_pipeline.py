@@ -61,3 +61,39 @@ def test_registered_queries_equal_sql(spark, duck, sf_dir):
     assert sum(name.startswith("op") for name in QUERIES) == 10
     for name, sql in ORACLES.items():
         same(QUERIES[name](spark, sf_dir).toPandas(), duck.execute(sql).fetchdf())
+
+
+NAMES = ("a", "b", "n", "s", "fp", "row", "size", "_doc", "doc", "_spans", "spans", "failed_bits", "kept", "other", "occurrence", "group", "block", "words", "n_words", "length", "piece", "text_hash", "grade", "_words")
+
+
+def edge_documents(spark):
+    letters = lambda x: "abcdefghijklmnop"[x & 15] + (letters(x >> 4) if x >> 4 else "")
+    prose = lambda k, n: " ".join(f"{'the of and to in'.split()[j % 5]} {letters(j + 100_000 * (k + 1))}" for j in range(n)) + "."
+    rows = [*brute.EDGE, *[(100 + k, prose(k, 60), "en", "abc"[k % 3], 0) for k in range(12)], (200, prose(99, 60_000), "en", "b", 0), (201, prose(99, 60_000) + " tail", "en", None, 0)]
+    rows += [rows[-3], rows[-3], (300, prose(3, 60), None, "c", None), (None, prose(5, 90), "en", "a", 0), (None, prose(5, 90), "en", "a", 0)]
+    return spark.createDataFrame(rows, brute.DOCS)
+
+
+def test_stages_take_nulls_long_texts_repeated_rows_and_other_columns(spark, tmp_path):
+    docs, sf_dir = edge_documents(spark), str(tmp_path)
+    docs.write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame([(100, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")  # one grade: all are kept
+    clashing = docs.selectExpr("*", *[f"{k} as {name}" for k, name in enumerate(NAMES)], "map('k', doc_id) as m", "array(text) as texts")
+    plain_at, at = docs, clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain_at, at = (spark.createDataFrame(stage(spark, x, sf_dir).collect(), x.schema) for x in (plain_at, at))
+        assert at.columns == clashing.columns, name
+        key = lambda df: Counter((r["doc_id"], r["source"]) for r in df.collect())
+        assert key(at) == key(plain_at), name
+        if name == "near_dedup":
+            ids = Counter(r["doc_id"] for r in at.collect())
+            assert max(ids.values()) == 1 and 200 in ids and 201 not in ids and 103 in ids and 300 not in ids and None in ids
+    assert {200, 100} <= {r["doc_id"] for r in at.collect()}
+    rows = corpus_pipeline.STAGES[-1][1](spark, at, sf_dir).collect()
+    check_packed(rows, [(r["doc_id"], r["text"]) for r in at.collect()], 4096)
+
+
+def test_run_over_edge_tables(spark, tmp_path):
+    edge_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(100, 1, 0), (101, 0, 0), (101, 1, 1), (None, 1, 0), (999, 1, 1), (102, None, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
