@@ -1,6 +1,6 @@
 """Main text of web pages by differencing each page with its neighbours in URL order.
 
-Every page is parsed once into lines (its blocks of text, white space folded). Pages are ordered by host, URL path and page_id; a page's neighbours
+Every page is parsed into lines (its blocks of text, white space folded), once for its text and once for the hashes that its neighbours get. Pages are ordered by host, URL path and page_id; a page's neighbours
 are the pages before and after it on its host, the one with the longer common beginning of the path first (the one before on ties). The
 page's lines are aligned with the neighbour's by longest common subsequence, and shared lines are deleted: what a site repeats from page to
 page is not the page's own text. If nothing would be left, the neighbour is a copy, and the other one is taken; if both are, nothing is deleted.
@@ -198,9 +198,9 @@ def line_hashes(lines: list[tuple[int, str]]) -> list[int]:
     return [xxhash.xxh64_intdigest(t) >> 1 for _, t in lines]
 
 
-def own_text(lines: list[tuple[int, str]], neighbours: list[list[int]], hashes: list[int] | None = None) -> tuple[str, int]:
+def own_text(lines: list[tuple[int, str]], neighbours: list[list[int]]) -> tuple[str, int]:
     """The page's text after differencing and the check on markup, and how many lines differencing deleted."""
-    hashes = line_hashes(lines) if hashes is None else hashes
+    hashes = line_hashes(lines)
     gone: set[int] = set()
     for other in neighbours:
         gone = shared(hashes, other)
@@ -219,11 +219,18 @@ KEY = ["a", "b"]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """zones (a digit for each line) and lines (none has a newline inside, so they are one string)."""
     names = ["a", "b", "page_id", "url"]
     for batch in slices(batches, "html"):
         pages = [page_lines(html) for html in batch.column("html").to_pylist()]
-        columns = [pa.array([[z for z, _ in x] for x in pages], pa.list_(pa.int8())), pa.array([[t for _, t in x] for x in pages], pa.list_(pa.string())), pa.array([line_hashes(x) for x in pages], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=[*names, "zones", "lines", "hashes"])
+        columns = [pa.array(["".join(str(z) for z, _ in x) for x in pages]), pa.array(["\n".join(t for _, t in x) for x in pages])]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=[*names, "zones", "lines"])
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "html"):
+        hashes = pa.array([line_hashes(page_lines(html)) for html in batch.column("html").to_pylist()], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("qa"), batch.column("qb"), hashes], names=["qa", "qb", "hashes"])
 
 
 def _nearness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +248,8 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            text, n = own_text(list(zip(r["zones"], r["lines"])), [x["hashes"] for x in r["near"] or []], r["hashes"])
+            lines = list(zip(map(int, r["zones"]), r["lines"].split("\n")))
+            text, n = own_text(lines, [x["hashes"] for x in r["near"] or []])
             rows += [(r["page_id"], r["url"], text, len(text), n)] * r["n"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(RESULT.values())], names=list(RESULT))
 
@@ -271,9 +279,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     hashes = [F.xxhash64(*known).alias("a"), F.xxhash64(F.lit("b"), *known).alias("b")]
     address = [F.col("page_id").cast("bigint").alias("page_id"), F.col("url"), F.lower(F.regexp_extract(url, pattern, 1)).alias("host"), F.regexp_extract(url, pattern, 2).alias("path")]
     rows, _ = materialize(pages.select(*hashes, *address).groupBy("a", "b", "page_id", "url", "host", "path").agg(F.count("*").alias("n")), "addresses")
-    parsed = pages.select(*hashes, *address[:2], F.col("html")).mapInArrow(_parsed, "a bigint, b bigint, page_id bigint, url string, zones array<tinyint>, lines array<string>, hashes array<bigint>").dropDuplicates(KEY)
+    parsed = pages.select(*hashes, *address[:2], F.col("html")).mapInArrow(_parsed, "a bigint, b bigint, page_id bigint, url string, zones string, lines string").dropDuplicates(KEY)
+    told = pages.select(hashes[0].alias("qa"), hashes[1].alias("qb"), "html").mapInArrow(_hashed, "qa bigint, qb bigint, hashes array<bigint>").dropDuplicates(["qa", "qb"])
     wanted = _neighbours(rows.drop("n"))
-    sent = parsed.select(F.col("a").alias("qa"), F.col("b").alias("qb"), "hashes").join(wanted.hint("merge"), ["qa", "qb"]).select("a", "b", F.struct("rank", "hashes").alias("near"))
+    sent = told.join(wanted.hint("merge"), ["qa", "qb"]).select("a", "b", F.struct("rank", "hashes").alias("near"))
     near = sent.groupBy(*KEY).agg(F.sort_array(F.collect_list("near")).alias("near"))  # two at most
     both = parsed.join(rows.select(*KEY, "n").hint("merge"), KEY).join(near.hint("merge"), KEY, "left")
     return both.drop(*KEY).mapInArrow(_decided, "page_id bigint, url string, text string, n_chars bigint, n_shared_lines bigint")
