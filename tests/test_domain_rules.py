@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from wherry.functions.text import nanp_phone
 from wherry.operators.attribution import credits, journeys
-from wherry.operators.identity import profiles
+from wherry.operators.identity import MOST_KEYS, profiles, resolve
 from wherry.operators.joins import as_of
-from wherry.operators.sessions import session_rollup, sessionize
+from wherry.operators.sessions import dirty_visitors, session_rollup, sessionize
+from wherry.operators.versions import without_conflicts
 from wherry.plans.attribution import channel_label
 from wherry.plans.channels import classify
 from wherry.streaming.sessions import current_sessions, rebuild
@@ -136,3 +137,30 @@ def test_credits_of_many_measures_and_paid_models_equal_the_journeys(spark, seed
         for n in names:
             for m in ("m1", "m2"):
                 assert got[r["touch_id"]][f"{n}_{m}"] == pytest.approx(r[f"{n}_{m}"], abs=1e-6)
+
+
+def test_conflicting_versions_are_an_error(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("b", 2, "x"), ("b", 2, "y")], "key string, version int, hash string")
+    assert without_conflicts(rows.filter("key = 'a'"), ["key", "version"], "hash").count() == 2
+    with pytest.raises(ValueError, match=r"\('b', 2\)"):
+        without_conflicts(rows, ["key", "version"], "hash")
+
+
+def test_resolving_drops_tombstones_and_takes_the_latest_mapping(spark):
+    mapping = spark.createDataFrame([("k1", "old", 1, False), ("k1", "new", 2, False), ("k2", "p2", 1, False), ("k2", "p2", 2, True)], "key string, profile_id string, version int, is_deleted boolean")
+    requests = spark.createDataFrame([(1, ["k2", "k1"]), (2, ["k2"]), (3, []), (4, ["zz"])], "request_id int, keys array<string>")
+    found = {r["request_id"]: (r["matched_key"], r["profile_id"]) for r in resolve(requests, mapping, MOST_KEYS).collect()}
+    assert found == {1: ("k1", "new"), 2: (None, None), 3: (None, None), 4: (None, None)}
+    with pytest.raises(Exception, match="more than 5 identifiers"):
+        resolve(spark.createDataFrame([(1, list("abcdef"))], "request_id int, keys array<string>"), mapping, MOST_KEYS).collect()
+
+
+def test_every_cause_of_a_dirty_visitor(spark):
+    pages = spark.createDataFrame([("a", 1, "f1"), ("b", 9, "f1"), ("c", 1, None), ("d", 1, None), ("d", 1, None), ("e", 1, None), ("g", 1, "f2")], "visitor string, ingested_at long, fbclid string")
+    built = spark.createDataFrame([("a", 1), ("c", 1), ("d", 1), ("e", 1), ("g", 1), ("gone", 4)], "visitor string, n_pages long")
+    names = lambda **more: {r[0] for r in dirty_visitors(pages, 5, more.pop("built", None), **more).collect()}
+    assert names() == {"b"}
+    assert names(click="fbclid") == {"a", "b"}  # a saw the click first
+    assert names(built=built.select("visitor")) == {"b"}
+    assert names(built=built) == {"b", "d", "gone"}  # d has a page more, the pages of gone went
+    assert names(changed=spark.createDataFrame([("c",)], "visitor string")) == {"b", "c"}

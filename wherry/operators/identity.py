@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wherry.operators.components import connected_components
+from wherry.operators.versions import collapse
 
 #: Which kind of identifier names a profile, best first.
 WINNER_ORDER = ("email", "canonical_email", "user_id", "anonymous_id", "phone")
@@ -38,9 +39,22 @@ def profiles(evidence: DataFrame, labels: DataFrame, order: tuple[str, ...] = WI
     return named.withColumn("profile_id", F.md5("winner"))
 
 
-def resolve(requests: DataFrame, mapping: DataFrame) -> DataFrame:
-    """One row per request (request_id, keys in falling preference): the profile of its best known key, null if none is known."""
-    each = requests.select("request_id", F.posexplode("keys").alias("at", "key"))
+#: A request names at most so many identifiers; what goes beyond is an error.
+MOST_KEYS = 5
+
+
+def resolve(requests: DataFrame, mapping: DataFrame, most: int | None = None) -> DataFrame:
+    """One row per request (request_id, keys in falling preference): the profile of its best known key, null if none is known.
+
+    With `version` among its columns, mapping is first reduced to the latest version of each key; tombstones (`is_deleted`) then know nothing.
+    With `most`, a request of more keys is an error.
+    """
+    if "version" in mapping.columns:
+        mapping = collapse(mapping, ["key"], [F.col("version").desc(), F.col("profile_id").asc_nulls_last()]).select("key", "profile_id")
+    keys = F.col("keys")
+    if most is not None:
+        keys = F.when(F.size("keys") <= most, keys).otherwise(F.raise_error(F.lit(f"a request of more than {most} identifiers")).cast("array<string>"))
+    each = requests.select("request_id", F.posexplode_outer(keys).alias("at", "key"))
     hit = each.join(mapping, "key", "left").withColumn("_order", F.struct(F.col("profile_id").isNull(), "at"))
     best = hit.withColumn("_n", F.row_number().over(Window.partitionBy("request_id").orderBy("_order"))).filter("_n = 1")
     return best.select("request_id", F.when(F.col("profile_id").isNotNull(), F.col("key")).alias("matched_key"), "profile_id")

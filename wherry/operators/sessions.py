@@ -53,12 +53,28 @@ def revision(old: DataFrame, new: DataFrame, key: str = "session_id") -> DataFra
     return a.join(b, key, "full").filter(~F.col("old_hash").eqNullSafe(F.col("new_hash"))).select(key, change.alias("change"))
 
 
-def dirty_visitors(pages: DataFrame, since: int | None, built: DataFrame | None, visitor: str | list[str] = "visitor", ingested: str = "ingested_at", upto: int | None = None) -> DataFrame:
-    """Visitors to rebuild: with pages ingested in (since, upto], or with pages but no built session."""
+def dirty_visitors(
+    pages: DataFrame, since: int | None, built: DataFrame | None, visitor: str | list[str] = "visitor", ingested: str = "ingested_at", upto: int | None = None, click: str | None = None, changed: DataFrame | None = None
+) -> DataFrame:
+    """Visitors to rebuild: with pages ingested in (since, upto], or with pages but no built session.
+
+    Also, if asked for: visitors who share a click id (`click`) with such a page, as the time it was first seen may move; visitors whose
+    identity changed (`changed`); and, if built has n_pages, visitors whose built sessions hold another number of pages than there are.
+    """
     new = pages.filter((F.col(ingested) > since) if since is not None else F.lit(True))
     if upto is not None:
         new = new.filter(F.col(ingested) <= upto)
     found = new.select(*_keys(visitor))
     if built is not None:
         found = found.unionByName(pages.select(*_keys(visitor)).join(built.select(*_keys(visitor)), _keys(visitor), "left_anti"))
+        if "n_pages" in built.columns:
+            there = pages.filter(F.col(ingested).isNotNull()).groupBy(*_keys(visitor)).agg(F.count("*").alias("_there"))
+            held = built.groupBy(*_keys(visitor)).agg(F.sum("n_pages").alias("_held"))
+            stale = held.join(there, _keys(visitor), "left").filter(~F.col("_there").eqNullSafe(F.col("_held")))
+            found = found.unionByName(stale.select(*_keys(visitor)))
+    if click is not None:
+        clicked = new.filter(F.col(click).isNotNull()).select(click).distinct()
+        found = found.unionByName(pages.join(clicked, click, "left_semi").select(*_keys(visitor)))
+    if changed is not None:
+        found = found.unionByName(changed.select(*_keys(visitor)))
     return found.distinct()

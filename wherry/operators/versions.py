@@ -33,6 +33,14 @@ def conflicts(df: DataFrame, keys: list[str], content: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.countDistinct(content).alias("n_contents")).filter("n_contents > 1")
 
 
+def without_conflicts(df: DataFrame, keys: list[str], content: str) -> DataFrame:
+    """df, or an error that names some keys if one version carries more than one content."""
+    found = conflicts(df, keys, content).limit(5).collect()
+    if found:
+        raise ValueError("different contents under one version: " + ", ".join(str(tuple(r[k] for k in keys)) for r in found))
+    return df
+
+
 def after_last_delete(df: DataFrame, keys: list[str], order: list[str], deleted: str = "is_deleted") -> DataFrame:
     """The latest row after a key's last deletion: a deletion removes until a later observation recreates."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)

@@ -57,12 +57,12 @@ def resolve_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve(requests, mapping)
 
 
-@query(f"{_COMPONENT_SQL}, s AS (SELECT component, source, d.doc_id FROM evidence e JOIN labels l ON l.key = e.key JOIN documents d ON d.doc_id = e.fact) SELECT component, arg_max(source, doc_id) FILTER (WHERE source IS NOT NULL) AS latest_source, max(doc_id) AS last_fact FROM s GROUP BY 1")
+@query(f"{_COMPONENT_SQL}, s AS (SELECT component, source, d.doc_id FROM evidence e JOIN labels l ON l.key = e.key JOIN documents d ON d.doc_id = e.fact) SELECT component, arg_max(source, doc_id) FILTER (WHERE trim(source) <> '') AS latest_source, max(doc_id) AS last_fact FROM s GROUP BY 1")
 def latest_known_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest non-empty value of a trait per profile."""
     rows = evidence(spark, sf_dir)
     traits = rows.join(components(rows), "key").join(load(spark, sf_dir, "documents").select(F.col("doc_id").alias("fact"), "source"), "fact")
-    return traits.groupBy("component").agg(F.max_by("source", F.when(F.col("source").isNotNull(), F.col("fact"))).alias("latest_source"), F.max("fact").alias("last_fact"))
+    return traits.groupBy("component").agg(F.max_by("source", F.when(F.trim("source") != "", F.col("fact"))).alias("latest_source"), F.max("fact").alias("last_fact"))
 
 
 @query(f"WITH {_EVIDENCE_SQL} SELECT * FROM evidence QUALIFY row_number() OVER (PARTITION BY fact ORDER BY CASE WHEN split_part(key, ':', 1) = 'phone' THEN 0 ELSE 1 END, key) = 1")

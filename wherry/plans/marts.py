@@ -75,17 +75,21 @@ def ad_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {JOURNEY_SQL}, s AS (SELECT CAST(touch_time AS DATE) AS day, source, medium, count(*) AS sessions FROM touches WHERE medium NOT IN ('cpc', 'paid', 'paid_social') GROUP BY ALL),
-  c AS (SELECT CAST(conversion_time AS DATE) AS day, source, medium, sum(m) AS conversions FROM weights WHERE touch_id IS NOT NULL AND medium NOT IN ('cpc', 'paid', 'paid_social') GROUP BY ALL)
-  SELECT coalesce(s.day, c.day) AS day, coalesce(s.source, c.source) AS source, coalesce(s.medium, c.medium) AS medium, coalesce(sessions, 0) AS sessions, round(coalesce(conversions, 0), 6) AS conversions
-  FROM s FULL JOIN c ON s.day = c.day AND s.source = c.source AND s.medium = c.medium""")
+@query(f"""WITH {JOURNEY_SQL}, s AS (SELECT profile[-1:] AS tenant, CAST(touch_time AS DATE) AS day, source, medium, campaign, ad, count(*) AS sessions FROM touches WHERE medium NOT IN ('cpc', 'paid', 'paid_social') GROUP BY ALL),
+  c AS (SELECT profile[-1:] AS tenant, CAST(conversion_time AS DATE) AS day, source, medium, campaign, ad, sum(m) AS conversions FROM weights WHERE touch_id IS NOT NULL AND medium NOT IN ('cpc', 'paid', 'paid_social') GROUP BY ALL)
+  SELECT coalesce(s.tenant, c.tenant) AS tenant, coalesce(s.day, c.day) AS day, coalesce(s.source, c.source) AS source, coalesce(s.medium, c.medium) AS medium, coalesce(s.campaign, c.campaign) AS campaign, coalesce(s.ad, c.ad) AS ad,
+    coalesce(sessions, 0) AS sessions, round(coalesce(conversions, 0), 6) AS conversions
+  FROM s FULL JOIN c ON s.tenant = c.tenant AND s.day = c.day AND s.source = c.source AND s.medium = c.medium AND s.campaign IS NOT DISTINCT FROM c.campaign AND s.ad IS NOT DISTINCT FROM c.ad""")
 def organic_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unpaid sessions beside the conversions they are credited with, by six keys of which two may be null."""
     organic = ~F.col("medium").isin("cpc", "paid", "paid_social")
+    keys = ["tenant", "day", "source", "medium", "campaign", "ad"]
     touches = touchpoints(spark, sf_dir)
-    sessions = touches.filter(organic).groupBy(F.col("touch_time").cast("date").alias("day"), "source", "medium").agg(F.count("*").alias("sessions"))
-    rows = journeys(touches, conversions(spark, sf_dir)).filter(F.col("touch_id").isNotNull() & organic)
-    met = full_on(sessions, rows.groupBy(F.col("conversion_time").cast("date").alias("day"), "source", "medium").agg(F.sum("multi_weight").alias("conversions")), ["day", "source", "medium"])
-    return met.select("day", "source", "medium", F.coalesce("sessions", F.lit(0)).alias("sessions"), F.round(F.coalesce("conversions", F.lit(0.0)), 6).alias("conversions"))
+    tenant = F.right("profile", F.lit(1))
+    sessions = touches.filter(organic).withColumns({"tenant": tenant, "day": F.col("touch_time").cast("date")}).groupBy(*keys).agg(F.count("*").alias("sessions"))
+    rows = journeys(touches, conversions(spark, sf_dir)).filter(F.col("touch_id").isNotNull() & organic).withColumns({"tenant": tenant, "day": F.col("conversion_time").cast("date")})
+    met = full_on(sessions, rows.groupBy(*keys).agg(F.sum("multi_weight").alias("conversions")), keys)
+    return met.select(*keys, F.coalesce("sessions", F.lit(0)).alias("sessions"), F.round(F.coalesce("conversions", F.lit(0.0)), 6).alias("conversions"))
 
 
 @query(f"""{_PAID_SQL}, o AS (SELECT CAST(conversion_time AS DATE) AS day, sum(m) AS conversions FROM weights WHERE touch_id IS NOT NULL AND NOT paid GROUP BY 1)

@@ -81,13 +81,16 @@ def customer_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("c_custkey", "c_mktsegment", F.coalesce("n", F.lit(0)).alias("n_payments"), F.round(F.coalesce("total", F.lit(0.0)), 2).alias("lifetime"), "first_paid", "last_paid", "last_kind", (F.coalesce("subs", F.lit(0)) > 0).alias("has_subscription"))
 
 
-@query(f"""WITH {_PAYMENT_SQL}, manual AS (SELECT payment_id, 'm' || (customer % 10) AS profile FROM payments WHERE o_orderstatus = 'P'), automatic AS (SELECT c_custkey AS customer, 'a' || c_custkey AS profile FROM customer WHERE c_acctbal > 0)
+@query(f"""WITH {_PAYMENT_SQL}, links AS (SELECT payment_id, 1 AS linked_at, 'm' || (customer % 10) AS profile FROM payments WHERE o_orderstatus = 'P' UNION ALL SELECT payment_id, 2, 'n' || (customer % 7) FROM payments WHERE o_orderstatus = 'P' AND customer % 2 = 0),
+  manual AS (SELECT payment_id, arg_max(profile, linked_at) AS profile FROM links GROUP BY 1), automatic AS (SELECT c_custkey AS customer, 'a' || c_custkey AS profile FROM customer WHERE c_acctbal > 0)
   SELECT p.payment_id, coalesce(m.profile, a.profile) AS profile, CASE WHEN m.profile IS NOT NULL THEN 'manual' WHEN a.profile IS NOT NULL THEN 'automatic' ELSE 'unattributed' END AS method
   FROM payments p LEFT JOIN manual m ON m.payment_id = p.payment_id LEFT JOIN automatic a ON a.customer = p.customer""")
 def resolved_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A manual link goes before the automatic profile."""
+    """The latest manual link goes before the automatic profile; however many links there are, a payment is one row."""
     p = payments(spark, sf_dir)
-    manual = p.filter("o_orderstatus = 'P'").select("payment_id", F.concat(F.lit("m"), F.col("customer") % 10).alias("manual"))
+    options = F.array(F.struct(F.lit(1).alias("linked_at"), F.concat(F.lit("m"), F.col("customer") % 10).alias("manual")), F.struct(F.lit(2).alias("linked_at"), F.concat(F.lit("n"), F.col("customer") % 7).alias("manual")))
+    links = p.filter("o_orderstatus = 'P'").select("payment_id", F.inline(F.slice(options, F.lit(1), F.when(F.col("customer") % 2 == 0, 2).otherwise(1))))
+    manual = links.groupBy("payment_id").agg(F.max_by("manual", "linked_at").alias("manual"))
     automatic = load(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("customer"), F.concat(F.lit("a"), F.col("c_custkey")).alias("automatic"))
     rows = p.join(manual, "payment_id", "left").join(automatic, "customer", "left")
     method = F.when(F.col("manual").isNotNull(), "manual").when(F.col("automatic").isNotNull(), "automatic").otherwise("unattributed")
