@@ -62,39 +62,42 @@ def revenue_split(rows: DataFrame, amount: str = "amount") -> DataFrame:
     return rows.withColumns({f"{m}_revenue": weighted(F.col(amount), F.col(f"{m}_weight")) for m in MODELS})
 
 
-def _reached(placed: DataFrame, conversions: DataFrame, measures: list[str]) -> DataFrame:
-    """Conversions with n_touches, the places reached by their time: one union and one running count."""
-    marks = placed.select("profile", F.col("touch_time").alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast("bigint").alias("conversion_id"), *[F.lit(None).cast("double").alias(m) for m in measures])
-    ends = conversions.select("profile", F.col("conversion_time").alias("_t"), F.lit(1).alias("_side"), "conversion_id", *measures)
-    w = Window.partitionBy("profile").orderBy("_t", "_side").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ran = marks.unionByName(ends).withColumn("n_touches", F.sum(1 - F.col("_side")).over(w))
-    return ran.filter("_side = 1").drop("_t", "_side")
+def _placed(touches: DataFrame, conversions: DataFrame, measures: list[str]) -> DataFrame:
+    """profile, n, touch_id, is_paid and the measures summed: for each place its touch and the conversions that reach no further; n is 0 for those that reach none.
+
+    One union and one exchange on the profile: in order of time, touches before conversions, a running count gives a touch its place
+    and a conversion the places it has reached.
+    """
+    touch_type = touches.schema["touch_id"].dataType
+    marks = touches.select("profile", F.col("touch_time").alias("_t"), F.lit(0).alias("_side"), "touch_id", is_paid().alias("is_paid"), is_direct().alias("_direct"), *[F.lit(None).cast("double").alias(m) for m in measures])
+    ends = conversions.select("profile", F.col("conversion_time").alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(touch_type).alias("touch_id"), F.lit(None).cast("boolean").alias("is_paid"), F.lit(False).alias("_direct"), *[F.col(m).cast("double").alias(m) for m in measures])
+    upto = Window.partitionBy("profile").orderBy("_t", "_side", "touch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = marks.unionByName(ends).withColumn("_seen", F.sum(1 - F.col("_side")).over(upto))
+    counts = (F.col("_side") == 0) & (~F.col("_direct") | (F.col("_seen") == 1)) & F.col("profile").isNotNull()
+    rows = rows.withColumn("_counts", counts).withColumn("n", F.sum(F.col("_counts").cast("int")).over(upto)).filter("_counts or _side = 1")
+    return rows.groupBy("profile", "n").agg(F.max("touch_id").alias("touch_id"), F.max("is_paid").alias("is_paid"), *[F.sum(m).alias(m) for m in measures])
 
 
 def credits(touches: DataFrame, conversions: DataFrame, measures: list[str]) -> DataFrame:
     """Per touch and measure the credit of all six models, in time linear in touches plus conversions.
 
     Columns: profile, touch_id, is_paid, and <model>_<measure> for each of MODELS. Conversions without a touch have a row with touch_id null.
+    Everything is partitioned by the profile, so there is one exchange; suffix sums give what lies beyond a place.
     """
-    placed = positions(touches)
-    sums = _reached(placed, conversions, measures).groupBy("profile", "n_touches").agg(*[F.sum(m).alias(m) for m in measures])
-    offline = sums.filter("n_touches = 0")
+    placed = _placed(touches, conversions, measures)
     later = Window.partitionBy("profile").orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # every place beside the sums of the conversions that end there; suffix sums give what lies beyond
-    both = placed.select("profile", F.col("place").cast("bigint").alias("n"), "touch_id", "is_paid").join(sums.filter("n_touches > 0").withColumnRenamed("n_touches", "n"), ["profile", "n"], "left")
-    out, offline_out = {}, {}
+    n = F.col("n")
+    credited = {}
     for m in measures:
-        here, n = F.coalesce(F.col(m), F.lit(0.0)), F.col("n")
+        here = F.coalesce(F.col(m), F.lit(0.0))
         beyond = F.sum(here).over(later) - here
-        shared = F.sum(F.when(n > 2, here * 0.2 / (n - 2)).otherwise(0.0))
-        middle = shared.over(later) - F.when(n > 2, here * 0.2 / (n - 2)).otherwise(0.0)
+        share = F.when(n > 2, here * 0.2 / (n - 2)).otherwise(0.0)
+        middle = F.sum(share).over(later) - share
         two = F.when(n == 1, F.sum(F.when(n == 2, here).otherwise(0.0)).over(later)).otherwise(0.0)
-        out[f"first_{m}"] = F.when(n == 1, here + beyond).otherwise(0.0)
-        out[f"last_{m}"] = here
-        own = F.when(n == 1, here).when(n == 2, here * 0.5).otherwise(here * 0.4)
-        out[f"multi_{m}"] = own + F.when(n == 1, 0.5 * two + 0.4 * (beyond - two)).otherwise(middle)
-        offline_out |= {f"{k}_{m}": F.coalesce(m, F.lit(0.0)) for k in ("first", "last", "multi")} | {f"{k}_paid_{m}": F.lit(0.0) for k in ("first", "last", "multi")}
-    paid = {f"{k}_paid_{m}": F.when(F.col("is_paid"), F.col(f"{k}_{m}")).otherwise(0.0) for m in measures for k in ("first", "last", "multi")}
-    touched = both.withColumns(out).select("profile", "touch_id", "is_paid", *out, *[c.alias(k) for k, c in paid.items()])
-    none = offline.select("profile", F.lit(None).cast(touched.schema["touch_id"].dataType).alias("touch_id"), F.lit(False).alias("is_paid"), *[c.alias(k) for k, c in offline_out.items()])
-    return touched.unionByName(none)
+        own = F.when(n <= 1, here).when(n == 2, here * 0.5).otherwise(here * 0.4)
+        credited[f"first_{m}"] = F.when(n == 1, here + beyond).when(n == 0, here).otherwise(0.0)
+        credited[f"last_{m}"] = here
+        credited[f"multi_{m}"] = own + F.when(n == 0, 0.0).when(n == 1, 0.5 * two + 0.4 * (beyond - two)).otherwise(middle)
+    paid = {f"{k}_paid_{m}": F.when(F.coalesce("is_paid", F.lit(False)), F.col(f"{k}_{m}")).otherwise(0.0) for m in measures for k in ("first", "last", "multi")}
+    rows = placed.withColumns(credited)
+    return rows.select("profile", "touch_id", F.coalesce("is_paid", F.lit(False)).alias("is_paid"), *credited, *[c.alias(k) for k, c in paid.items()])
