@@ -253,7 +253,7 @@ def jaccard(a, b):
 
 
 def check_fingerprints(rows, docs):
-    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), d[1]))
+    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), simhash.signed(xxhash.xxh64_intdigest(d[1].encode(), 42))))
     follows = [(d, order[(k + 1) % len(order)]) for k, d in enumerate(order)]
     want, errors = Counter(), []
     by_id = defaultdict(list)
@@ -279,6 +279,16 @@ def test_next_document_over_many_runs(docs, monkeypatch):
     check_fingerprints(fingerprint.fingerprint_documents(docs).collect(), [(r["doc_id"], r["text"] or "") for r in docs.collect()])
 
 
+def test_next_document_of_equal_and_missing_ids(spark, docs, monkeypatch):
+    """Ids that fill many runs are cut by the hash of the text; none goes to one task."""
+    monkeypatch.setattr(fingerprint, "RUN_ROWS", 6)
+    ids = F.when(F.col("doc_id") % 3 == 0, F.lit(-(1 << 63))).when(F.col("doc_id") % 3 == 1, F.lit(None)).when(F.col("doc_id") % 2 == 0, F.lit(50)).otherwise(F.col("doc_id"))
+    rows = docs.dropDuplicates(["text"]).select(ids.cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    check_fingerprints(fingerprint.fingerprint_documents(rows).collect(), [(r["doc_id"], r["text"]) for r in rows.collect()])
+    runs = fingerprint.Runs(rows)
+    assert max(r["count"] for r in rows.groupBy(runs.place.alias("p")).count().collect()) <= 30
+
+
 def test_fingerprint_defined_cases(spark, edge, nothing, clashing):
     rows = fingerprint.fingerprint_documents(edge).collect()
     assert len(rows) == len(EDGE)

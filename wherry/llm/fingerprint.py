@@ -6,20 +6,24 @@ visits every bin: the densification that gives each empty bin an independent cho
 stored. A share m of equal bins estimates the likeness as (m - c) / (1 - c), c = 2**-LOW_BITS being the chance of equal bits.
 
 The next document of a row is found in runs of consecutive ids: rows go once through a hash exchange on the run, and the first
-row of each run is also sent to the run above, so no task sorts more than one run and nothing global is sorted.
+row of each run is also sent to the run above, so no task sorts more than one run and nothing global is sorted. Rows that share an id, or have none,
+are cut into runs by the hash of their text.
 
 Defined cases: a null text is the empty text; texts of one to four words are one shingle; a text without words has the
-fingerprint '' (likeness 1 to another such, 0 to any other); equal ids are ordered by text; null ids come last; the only
+fingerprint '' (likeness 1 to another such, 0 to any other); equal ids are ordered by the hash of their text; null ids come last; a very long text is hashed whole; the only
 row is its own next; empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import accumulate
+
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wherry.llm.common import filled, groups_for, let, words
+from wherry.llm.common import filled, let, words
 
 SHINGLE = 5
 BIN_BITS = 8
@@ -99,22 +103,12 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.when(F.size(a) == F.size(b), 1.0).otherwise(0.0)).otherwise(both)
 
 
-def _runs(rows: DataFrame) -> tuple[list[int], list[int | None]]:
-    """Upper bounds of runs of ids, and the largest id of each run. Both have one number per run, at most MOST_RUNS."""
-    n = min(MOST_RUNS, groups_for(rows.count(), RUN_ROWS))
-    cuts = [k / n for k in range(1, n)]
-    found = rows.agg(F.percentile_approx("doc_id", cuts, max(10_000, 10 * n)).alias("b")).first()["b"] if cuts else None
-    bounds = sorted(set(found or []))
-    tops = {r["run"]: r["top"] for r in rows.groupBy(_run(F.col("doc_id"), bounds).alias("run")).agg(F.max("doc_id").alias("top")).collect()}
-    return bounds, [tops.get(k) for k in range(len(bounds) + 1)]
-
-
 def _literal(values: list, kind: str) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast(kind)
 
 
-def _run(doc_id: Column, bounds: list[int]) -> Column:
-    """How many bounds are under doc_id: the number of its run, by binary search; 0 for null."""
+def _under(bounds: list[int], doc_id: Column) -> Column:
+    """How many bounds are under doc_id, by binary search."""
     if not bounds:
         return F.lit(0)
     array = _literal(bounds, "array<bigint>")
@@ -123,27 +117,70 @@ def _run(doc_id: Column, bounds: list[int]) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(under(at, step), at + step).otherwise(at))
 
 
-def _with_next(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, text, sig) with next_text and next_sig: those of the row after it by descending doc_id, cyclically."""
-    bounds, tops = _runs(rows)
-    used = [k for k, top in enumerate(tops) if top is not None] or [0]
-    above = {k: used[(i + 1) % len(used)] for i, k in enumerate(used)}  # the run whose last row is followed by this run's first
-    targets = _literal([above.get(k, 0) for k in range(len(tops))], "array<int>")
-    firsts = _literal(tops, "array<bigint>")
-    numbered = rows.withColumn("run", _run(F.col("doc_id"), bounds))
-    own = F.struct(F.col("run").alias("run"), F.lit(False).alias("guest"))
-    guest = F.struct(F.get(targets, F.col("run")).alias("run"), F.lit(True).alias("guest"))
-    is_first = F.col("doc_id").eqNullSafe(F.get(firsts, F.col("run")))
-    placed = numbered.withColumn("at", F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own)))).select("doc_id", "text", "sig", "at.run", "at.guest")
-    order = Window.partitionBy("run").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
-    found = placed.withColumn("_next", F.lead(F.struct("text", "sig")).over(order)).filter("not guest")
+def _back() -> Column:
+    """Ascending where ids are descending, without overflow; null for null."""
+    return F.bitwise_not("doc_id")
+
+
+def _hash() -> Column:
+    return F.xxhash64("text")
+
+
+class Runs:
+    """The runs of rows (doc_id, text) in order: ids descending, null last, equal ids by hash of the text.
+
+    An id that fills several runs is cut by that hash. There are at most 3 * MOST_RUNS runs; the driver holds a few numbers of each.
+    """
+
+    def __init__(self, rows: DataFrame):
+        n = rows.count()
+        each = max(RUN_ROWS, -(-n // MOST_RUNS))
+        cuts = [k * each / n for k in range(1, -(-n // each))]
+        found = rows.agg(F.percentile_approx("doc_id", cuts, max(10_000, 10 * len(cuts))).alias("b")).first()["b"] if cuts else None
+        heavy = {r["doc_id"]: r["n"] for r in rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * each).collect()}
+        ids = [x for x in heavy if x is not None]
+        self.bounds = sorted({*(found or []), *ids, *(x - 1 for x in ids if x > -(1 << 63))})
+        null_run = len(self.bounds) + 1  # after run 0, the lowest ids
+        parts = [1] * (null_run + 1)
+        for x, count in heavy.items():
+            parts[null_run if x is None else bisect_left(self.bounds, x)] = -(-count // each)
+        order = [*range(null_run - 1, -1, -1), null_run]
+        starts = dict(zip(order, accumulate((parts[r] for r in order), initial=0)))
+        self.starts, self.parts, self.total = [starts[r] for r in range(null_run + 1)], parts, sum(parts)
+        first = F.min(F.struct(_back().alias("back"), _hash().alias("hash"))).alias("first")
+        self.firsts = {r["place"]: tuple(r["first"]) for r in rows.groupBy(self.place.alias("place")).agg(first).collect()}
+
+    @property
+    def place(self) -> Column:
+        """The number of a row's run."""
+        run = F.when(F.col("doc_id").isNull(), F.lit(len(self.bounds) + 1)).otherwise(_under(self.bounds, F.col("doc_id")))
+        share = _hash() / F.lit(2.0**64) + 0.5
+        cut = lambda r: F.get(_literal(self.starts, "array<int>"), r) + let(F.get(_literal(self.parts, "array<int>"), r), lambda m: F.least(m - 1, F.floor(share * m).cast("int")))
+        return let(run, cut)
+
+
+def _with_next(rows: DataFrame, sign) -> DataFrame:
+    """rows (doc_id, text) signed, with next_text and next_sig: those of the row after it, cyclically."""
+    runs = Runs(rows)
+    used = sorted(runs.firsts) or [0]
+    above = dict(zip(used, [used[-1], *used]))  # the run whose last row is followed by this run's first
+    known = [runs.firsts.get(k, (None, None)) for k in range(runs.total)]
+    numbered = rows.withColumn("place", runs.place)
+    at = lambda values, kind: F.get(_literal(values, kind), F.col("place"))
+    is_first = _back().eqNullSafe(at([b for b, _ in known], "array<bigint>")) & (_hash() == at([h for _, h in known], "array<bigint>"))
+    target = at([above.get(k, 0) for k in range(runs.total)], "array<int>")
+    guests = sign(numbered.filter(is_first).select(target.alias("place"), "text").dropDuplicates(["place"]))
+    columns = ["place", F.col("text"), "sig"]
+    both = sign(numbered).select("doc_id", F.lit(False).alias("guest"), *columns).unionByName(guests.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(True).alias("guest"), *columns))
+    order = Window.partitionBy("place").orderBy("guest", F.col("doc_id").desc_nulls_last(), _hash(), "text")
+    found = both.withColumn("_next", F.lead(F.struct("text", "sig")).over(order)).filter("not guest")
     return found.select("doc_id", "text", "sig", F.coalesce("_next.text", "text").alias("next_text"), F.coalesce("_next.sig", "sig").alias("next_sig"))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, with the likenesses that follow from them."""
     rows = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text"))
-    signed = _with_next(with_signature(rows, "text", "sig"))
+    signed = _with_next(rows, lambda df: with_signature(df, "text", "sig"))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = signed.select(
