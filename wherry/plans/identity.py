@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from wherry.operators.identity import components, profiles, resolve
 from wherry.operators.versions import latest_by
 from wherry.plans.registry import query
+from wherry.session import materialize
 from wherry.sources.tables import load
 
 _KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[A-Za-z0-9]", "phone": r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", "user_id": r"[0-9]{16}", "anonymous_id": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"}
 
 
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fact, key (kind:value) and seen_at of every identifier that a text names."""
+    """fact, key (kind:value) and seen_at of every identifier that a text names; written once where it is read several times."""
     def named(kind: str, pattern: str) -> Column:
         return F.transform(F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1)), lambda x: F.concat(F.lit(f"{kind}:"), F.lower(x)))
 
@@ -31,7 +32,7 @@ _COMPONENT_SQL = f"""WITH RECURSIVE {_EVIDENCE_SQL},
 
 @query(f"{_COMPONENT_SQL} SELECT key, component FROM labels")
 def identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components(evidence(spark, sf_dir))
+    return components(materialize(evidence(spark, sf_dir), "evidence")[0])
 
 
 _WINNER_SQL = f"""{_COMPONENT_SQL},
@@ -40,7 +41,7 @@ _WINNER_SQL = f"""{_COMPONENT_SQL},
 
 @query(f"{_WINNER_SQL} SELECT component, winner, n_facts, md5(winner) AS profile_id FROM profiles")
 def identity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = evidence(spark, sf_dir)
+    rows, _ = materialize(evidence(spark, sf_dir), "evidence")
     return profiles(rows, components(rows))
 
 
@@ -48,8 +49,8 @@ def identity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT request_id, r.key AS matched_key, md5(winner) AS profile_id FROM req r JOIN labels l ON l.key = r.key JOIN profiles p ON p.component = l.component QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY k, r.key) = 1""")
 def resolve_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a request with its identifiers, best kind first."""
-    rows = evidence(spark, sf_dir)
-    labels = components(rows)
+    rows, _ = materialize(evidence(spark, sf_dir), "evidence")
+    labels, _ = materialize(components(rows), "labels")
     mapping = labels.join(profiles(rows, labels), "component").select("key", "profile_id")
     kind = F.split_part("key", F.lit(":"), F.lit(1))
     rank = F.when(kind == "email", 0).when(kind == "user_id", 2).when(kind == "anonymous_id", 3).otherwise(4)
@@ -60,7 +61,7 @@ def resolve_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{_COMPONENT_SQL}, s AS (SELECT component, source, d.doc_id FROM evidence e JOIN labels l ON l.key = e.key JOIN documents d ON d.doc_id = e.fact) SELECT component, arg_max(source, doc_id) FILTER (WHERE trim(source) <> '') AS latest_source, max(doc_id) AS last_fact FROM s GROUP BY 1")
 def latest_known_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest non-empty value of a trait per profile."""
-    rows = evidence(spark, sf_dir)
+    rows, _ = materialize(evidence(spark, sf_dir), "evidence")
     traits = rows.join(components(rows), "key").join(load(spark, sf_dir, "documents").select(F.col("doc_id").alias("fact"), "source"), "fact")
     return traits.groupBy("component").agg(F.max_by("source", F.when(F.trim("source") != "", F.col("fact"))).alias("latest_source"), F.max("fact").alias("last_fact"))
 
