@@ -8,8 +8,9 @@ word shapes that mark low quality are bounded and fit between two thresholds.
 Features: presence of lower-cased words without their outer punctuation, shares of word shapes (runs of letter case,
 digits and the marks themselves), and the share of words equal to the word before; all hashed to DIMENSIONS weights.
 
-Fit on at most `sample` labelled documents (a documented bound; chosen by hash of doc_id, whole texts), whose feature lists come to the driver: at
-most `sample` lists, none longer than DIMENSIONS. The model is DIMENSIONS floats and goes out with the tasks. Scoring reads every whole text.
+Fit on at most `sample` labelled documents (a documented bound; chosen by hash of doc_id, whole texts): at most `sample` feature lists, none longer
+than DIMENSIONS. However long the texts, the driver takes the lists a partition at a time into a temporary file and reads that CHUNK_FEATURES
+features at a time. The model is DIMENSIONS floats and goes out with the tasks. Scoring reads every whole text.
 
 Defined cases: a null text is the empty text; labels without a document, and null labels, are left out; of several labels of a document the
 lowest grade counts; of several documents with a labelled doc_id, the one with the smallest hash of its text is fitted; with fewer than two
@@ -19,14 +20,15 @@ give empty results.
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -44,6 +46,8 @@ SHAPE_SCALE = 10.0
 CACHE_WORDS = 200_000
 EDGES = re.compile(r"^\W+|\W+$")
 REPEATED = 0
+#: Features that the fit holds at once, unless one list is longer.
+CHUNK_FEATURES = 1 << 20
 
 
 def _slot(kind: str, name: str) -> int:
@@ -112,35 +116,66 @@ class OrdinalModel:
         return _sigmoid(scores[:, None] - self.thresholds[None, :])
 
 
-def _telling(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, grades: np.ndarray) -> np.ndarray:
+def _mapped(file, kind: type) -> np.ndarray:
+    """The numbers written to a file, read from it when they are used."""
+    file.flush()
+    return np.asarray(np.memmap(file, kind, "r")) if os.fstat(file.fileno()).st_size else np.zeros(0, kind)
+
+
+def _spans(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of lists that hold CHUNK_FEATURES features at most, or one list."""
+    ends, spans, at = np.cumsum(lengths), [], 0
+    while at < len(lengths):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_FEATURES, "right")))
+        spans.append((at, stop))
+        at = stop
+    return spans
+
+
+def _telling(indices: list[np.ndarray], values: list[np.ndarray], lengths: np.ndarray, grades: np.ndarray) -> np.ndarray:
     """Which features go along with some cut of the grades by at least LEAST_Z standard errors: the rest would only fit noise."""
     n = len(grades)
-    sums = lambda x: np.bincount(cols, weights=x, minlength=DIMENSIONS)
-    mean = sums(vals) / n
-    spread = np.sqrt(np.maximum(sums(vals.astype(float) ** 2) / n - mean**2, 1e-12))
-    enough = np.bincount(cols, minlength=DIMENSIONS) >= MIN_DOCUMENTS
+    above = [(grades > k).astype(float) for k in range(GRADES - 1)]
+    count, total, squares, *tops = np.zeros((3 + len(above), DIMENSIONS))
+    for a, b in _spans(lengths):
+        rows, cols, vals = np.repeat(np.arange(a, b), lengths[a:b]), np.concatenate(indices[a:b]), np.concatenate(values[a:b])
+        count += np.bincount(cols, minlength=DIMENSIONS)
+        for out, x in ((total, vals), (squares, vals.astype(float) ** 2)):
+            out += np.bincount(cols, weights=x, minlength=DIMENSIONS)
+        for out, over in zip(tops, above):
+            out += np.bincount(cols, weights=vals * over[rows], minlength=DIMENSIONS)
+    mean = total / n
+    spread = np.sqrt(np.maximum(squares / n - mean**2, 1e-12))
     z = np.zeros(DIMENSIONS)
-    for k in range(GRADES - 1):
-        above = (grades > k).astype(float)
-        if above.std() > 0:
-            z = np.maximum(z, np.abs(sums(vals * above[rows]) / n - mean * above.mean()) / (spread * above.std()) * np.sqrt(n))
-    return enough & (z >= LEAST_Z)
+    for top, over in zip(tops, above):
+        if over.std() > 0:
+            z = np.maximum(z, np.abs(top / n - mean * over.mean()) / (spread * over.std()) * np.sqrt(n))
+    return (count >= MIN_DOCUMENTS) & (z >= LEAST_Z)
 
 
 def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, steps: int = 300, rate: float = 0.1, penalty: float = 5e-4) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty by full-batch Adam; the same input gives the same model."""
+    """Maximum likelihood with an L2 penalty by full-batch Adam; the same input gives the same model. The lists may lie in files."""
     present = np.unique(grades)
     if len(present) < 2:
         return OrdinalModel()
     lengths = np.array([len(x) for x in indices])
-    rows, cols, vals = np.repeat(np.arange(len(grades)), lengths), np.concatenate(indices), np.concatenate(values)
-    columns = np.flatnonzero(_telling(rows, cols, vals, grades))
-    used = np.isin(cols, columns)
-    place = np.zeros(DIMENSIONS, np.int64)
+    columns = np.flatnonzero(_telling(indices, values, lengths, grades))
+    place = np.full(DIMENSIONS, -1, np.int32)
     place[columns] = np.arange(len(columns))
-    rows, cols, vals = rows[used], place[cols[used]], vals[used]
+    with tempfile.TemporaryFile() as cols_file, tempfile.TemporaryFile() as vals_file:
+        for k, (index, value) in enumerate(zip(indices, values)):
+            at = place[index]
+            at[at >= 0].tofile(cols_file)
+            value[at >= 0].astype(np.float32, copy=False).tofile(vals_file)
+            lengths[k] = (at >= 0).sum()
+        cols, vals = _mapped(cols_file, np.int32), _mapped(vals_file, np.float32)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    spans = [(slice(a, b), slice(ends[a], ends[b])) for a, b in _spans(lengths)]
+    parts = lambda: ((rows, np.repeat(np.arange(rows.stop - rows.start), lengths[rows]), cols[at].astype(np.int64), vals[at]) for rows, at in spans)
+    if len(spans) == 1:
+        whole = list(parts())
+        parts = lambda: whole
     n, d, cuts = len(grades), len(columns), GRADES - 1
-    cols = cols.astype(np.int64)
     above = np.array([(grades > k).mean() for k in range(cuts)]).clip(0.5 / n, 1 - 0.5 / n)
     theta = np.log((1 - above) / above)
     params = np.concatenate([np.zeros(d), [theta[0]], np.log(np.maximum(np.diff(theta), 1e-2))])
@@ -148,7 +183,7 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
     for step in range(1, steps + 1):
         w, gaps = params[:d], np.exp(params[d + 1 :])
         theta = params[d] + np.concatenate([[0.0], np.cumsum(gaps)])
-        eta = np.bincount(rows, weights=vals * w[cols], minlength=n)
+        eta = np.concatenate([np.bincount(row, weights=x * w[col], minlength=rows.stop - rows.start) for rows, row, col, x in parts()])
         edge = np.concatenate([np.full((n, 1), -np.inf), theta[None, :] - eta[:, None], np.full((n, 1), np.inf)], axis=1)
         cdf = _sigmoid(edge)
         low, high = np.take_along_axis(cdf, grades[:, None], 1)[:, 0], np.take_along_axis(cdf, grades[:, None] + 1, 1)[:, 0]
@@ -157,7 +192,8 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
         g_eta = (d_high - d_low) / n  # of the negative log likelihood
         g_theta = np.array([(np.where(grades == k + 1, d_low, 0) - np.where(grades == k, d_high, 0)).sum() / n for k in range(cuts)])
         g_gaps = np.array([g_theta[k + 1 :].sum() for k in range(cuts - 1)]) * gaps
-        g = np.concatenate([np.bincount(cols, weights=vals * g_eta[rows], minlength=d) + penalty * w, [g_theta.sum()], g_gaps])
+        g_w = sum(np.bincount(col, weights=x * g_eta[rows][row], minlength=d) for rows, row, col, x in parts())
+        g = np.concatenate([g_w + penalty * w, [g_theta.sum()], g_gaps])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         params = params - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(DIMENSIONS, np.float32)
@@ -170,14 +206,16 @@ def grade() -> Column:
     return F.when(F.col("toxic") == 1, 0).when((F.col("quality") == 0) & (F.col("toxic") == 0), 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
 
 
-def _sample_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        found = [_HASHER.features(t) for t in frame["text"]]
-        yield pd.DataFrame({
-            "doc_id": frame["doc_id"], "grade": frame["grade"], "text_hash": frame["text_hash"],
-            "indices": [np.fromiter(x.keys(), np.int32, len(x)) for x in found],
-            "values": [np.fromiter(x.values(), np.float32, len(x)) for x in found],
-        })
+def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The feature lists as bytes: int32 indices, float32 values."""
+    names = ["doc_id", "grade", "text_hash"]
+    for batch in slices(batches, "text"):
+        lists = [[], []]
+        for text in batch.column("text").to_pylist():
+            found = _HASHER.features(text)
+            for out, x, kind in zip(lists, (found.keys(), found.values()), (np.int32, np.float32)):
+                out.append(np.fromiter(x, kind, len(found)).tobytes())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x, pa.binary()) for x in lists)], names=[*names, "indices", "values"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -> OrdinalModel:
@@ -186,13 +224,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -
     chosen = graded.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("bigint"), filled().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     joined = texts.join(F.broadcast(chosen), "doc_id")  # at most `sample` rows of two numbers
-    found = joined.mapInPandas(_sample_features, "doc_id bigint, grade int, text_hash bigint, indices array<int>, values array<float>")
+    found = joined.select("doc_id", "grade", "text_hash", "text").mapInArrow(_sample_features, "doc_id bigint, grade int, text_hash bigint, indices binary, values binary")
     one = found.groupBy("doc_id").agg(F.min(F.struct("text_hash", "grade", "indices", "values")).alias("x"))
-    rows = one.select("doc_id", "x.grade", "x.indices", "x.values").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    if rows.empty:
+    ids, grades, lengths = [], [], []
+    with tempfile.TemporaryFile() as cols_file, tempfile.TemporaryFile() as vals_file:
+        for doc_id, g, index, value in one.select("doc_id", "x.grade", "x.indices", "x.values").toLocalIterator():
+            cols_file.write(index)
+            vals_file.write(value)
+            ids.append(doc_id)
+            grades.append(g)
+            lengths.append(len(index) // 4)
+        cols, vals = _mapped(cols_file, np.int32), _mapped(vals_file, np.float32)
+    if not ids:
         return OrdinalModel()
-    return fit(list(rows["indices"]), list(rows["values"]), rows["grade"].to_numpy(np.int64), **options)
+    order, ends = np.argsort(ids), np.cumsum(lengths)
+    lists = [slice(ends[k] - lengths[k], ends[k]) for k in order]
+    return fit([cols[x] for x in lists], [vals[x] for x in lists], np.array(grades, np.int64)[order], **options)
 
 
 def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) -> DataFrame:
