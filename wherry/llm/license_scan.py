@@ -1,12 +1,14 @@
 """License statements found by conditional compression and confirmed by exact wording differences.
 
 Every line of every text that holds a license word (case-insensitive, by one automaton) is a candidate, together with the
-candidate lines next to it and the lines around that a full license text explains: a block. Each template whose identifying words (name, version and terms) stand in the block is aligned
-word by word with the words around each of them; the statement is the run of words with the most in common and the least between. It is
-confirmed if enough of the template's words stand in it in order (or, in a block shorter than a template that is no full text, enough
-of the block's words) and if the template, as a zstandard raw dictionary, takes off enough of the statement's compressed size. So what else
-stands in the line does not count. The best statement goes first, its words are taken out, and the rest of the block is judged
-again: a block gives a row for each statement. The differences are returned.
+candidate lines next to it and the lines around that a full license text explains: a block. The words of a block around each license word (and
+around the words that identify a license) are compressed alone and with each template as a zstandard raw dictionary, in windows of three times
+the template's length, so what else stands in the line does not count. A template that takes off enough, of what it takes off its own text or of the window, is near there.
+Near templates are aligned word by word; the statement is the run of words with the most in common and the least between. It is confirmed if
+the identifying words (name, version and terms) stand in it, with enough of the template's words in order (or, in a block shorter
+than a template that is no full text, enough of the block's words), and if the template takes off enough of the statement's compressed size.
+The statement that its template explains best in bytes goes first (what the template takes off, less what it leaves, less what it could have taken off more;
+of equal ones the nearer in words), its words are taken out, and the rest of the block is judged again: a block gives a row for each statement. The differences are returned.
 
 Blocks are found per document, in whole texts, with no shuffle. Templates are a parameter (name -> text, required words).
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -61,6 +64,9 @@ TEMPLATES: dict[str, tuple[str, str]] = {
 }
 LEAST_REDUCTION = 0.2
 LEAST_COVER = 0.6
+#: What a near template takes off a window, as a share of what it takes off its own text. Windows are of three times so many words, or more.
+LEAST_NEAR = 0.2
+REACH = 16
 #: A template of so many words is a full text: its lines are joined to a block, and it is covered as a whole or not at all.
 FULL_WORDS = 18
 WORD = re.compile(r"[0-9A-Za-z]+(?:[.\-'][0-9A-Za-z]+)*")
@@ -95,6 +101,15 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
         raw = {n: zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for n, (t, _) in templates.items()}
         self.given = {n: zstandard.ZstdCompressor(level=19, dict_data=d, write_content_size=False) for n, d in raw.items()}
+        said = {n: " ".join(w).encode() for n, w in self.words.items()}
+        raw = {n: zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for n, x in said.items() if x}
+        self.given_words = {n: zstandard.ZstdCompressor(level=19, dict_data=d, write_content_size=False) for n, d in raw.items()}
+        self.most = {n: int.__sub__(*self._sizes(n, " ".join(t.lower().split()).encode())) for n, (t, _) in templates.items()}
+        self.most_words = {n: len(self.plain.compress(x)) - len(self.given_words[n].compress(x)) for n, x in said.items() if x}
+        self.longest_word = max((len(w) for words in self.words.values() for w in words), default=0)
+        self.reach: dict[int, list[str]] = {}
+        for n in self.given_words:
+            self.reach.setdefault(max(REACH, 1 << (len(self.words[n]) - 1).bit_length()), []).append(n)
         self.anchors = ahocorasick.Automaton()
         for a in ANCHORS:
             self.anchors.add_word(a, a)
@@ -149,8 +164,28 @@ class Scanner:
         added = [w for op, _, _, a, b in matches if op != "equal" for w in words[a:b]]
         return same / max(1, min(len(template), len(words))), " ".join(missing), " ".join(added)
 
-    def _align(self, name: str, words: list[str], at: int, low: int, high: int) -> tuple | None:
-        """The statement of a template around words[at], inside words[low:high]: (-score, -cover, name, start, stop, at, missing, added)."""
+    def _near(self, words: list[str], sites: set[int], own: dict[str, list[int]]) -> dict[str, list[tuple[int, int]]]:
+        """The windows of words where each template is near by conditional compression: around all sites, and around its own."""
+        found: dict[str, list[tuple[int, int]]] = {}
+        short = [w if len(w) <= self.longest_word else "_" for w in words]  # a longer word is in no template
+        for reach, names in self.reach.items():
+            tiles = {k // reach: names for k in sites}
+            for n in names:
+                for tile in {k // reach for k in own.get(n, ())}:
+                    if n not in tiles.get(tile, ()):
+                        tiles[tile] = [*tiles.get(tile, ()), n]
+            for tile in sorted(tiles):
+                low, high = max(0, (tile - 1) * reach), min(len(words), (tile + 2) * reach)
+                data = " ".join(short[low:high]).encode()
+                plain = len(self.plain.compress(data))
+                for n in tiles[tile]:
+                    saved = plain - len(self.given_words[n].compress(data))
+                    if saved >= min(LEAST_NEAR * self.most_words[n], LEAST_REDUCTION * plain):
+                        found.setdefault(n, []).append((low, high))
+        return found
+
+    def _align(self, name: str, words: list[str], at: int, low: int, high: int, read) -> tuple | None:
+        """The statement of a template around words[at], inside words[low:high]: (-score in bytes, -score in words, -cover, name, start, stop, at, missing, added, plain size, size given the template)."""
         template = self.words[name]
         low, high = max(low, at - len(template)), min(high, at + len(template) + 1)
         runs = [m for m in SequenceMatcher(None, template, words[low:high], autojunk=False).get_matching_blocks() if m.size]
@@ -172,7 +207,9 @@ class Scanner:
         cover = same / max(1, len(template) if name in self.full else min(len(template), len(words)))
         if cover < LEAST_COVER:
             return None
-        return -(same - len(missing.split()) - len(added.split())), -cover, name, start, stop, at, missing, added
+        plain, given = self._sizes(name, read(start, stop))
+        explained = plain - 2 * given - max(0, self.most[name] - plain + given)
+        return -explained, -(same - len(missing.split()) - len(added.split())), -cover, name, start, stop, at, missing, added, plain, given
 
     def _sizes(self, name: str, data: bytes) -> tuple[int, int]:
         return len(self.plain.compress(data)), len(self.given[name].compress(data))
@@ -187,25 +224,26 @@ class Scanner:
         where: dict[str, list[int]] = {}
         for k, w in enumerate(words):
             where.setdefault(w, []).append(k)
+        read = lambda start, stop: " ".join(low[places[start][0] : places[stop - 1][1]].split()).encode()
+        ends = [b for _, b in places]
+        sites = {k for end, a in self.anchors.iter(low) if (k := bisect_right(ends, end - len(a) + 1)) < len(places)}
+        own = {n: min((where[w] for w in sorted(required)), key=len) for n, required in self.required.items() if required and required <= where.keys()}
         queue = []
-        for n, required in self.required.items():
-            if required and required <= where.keys():
-                for at in min((where[w] for w in sorted(required)), key=len):
-                    if found := self._align(n, words, at, 0, len(words)):
-                        queue.append(found)
+        for n, windows in self._near(words, sites, own).items():
+            for at in own.get(n, ()):
+                if any(a <= at < b for a, b in windows) and (found := self._align(n, words, at, 0, len(words), read)):
+                    queue.append(found)
         heapq.heapify(queue)
         taken: list[tuple[int, int]] = []
         results = []
         while queue:
-            _, cover, n, start, stop, at, missing, added = heapq.heappop(queue)
+            _, _, cover, n, start, stop, at, missing, added, plain, given = heapq.heappop(queue)
             if any(a < stop and start < b for a, b in taken):  # what is left of it is judged again
                 if not any(a <= at < b for a, b in taken):
                     free = max((b for _, b in taken if b <= at), default=0), min((a for a, _ in taken if a > at), default=len(words))
-                    if found := self._align(n, words, at, *free):
+                    if found := self._align(n, words, at, *free, read):
                         heapq.heappush(queue, found)
                 continue
-            data = " ".join(low[places[start][0] : places[stop - 1][1]].split()).encode()
-            plain, given = self._sizes(n, data)
             if 1 - given / plain >= LEAST_REDUCTION:
                 taken.append((start, stop))
                 results.append((start, (n, plain, given, round(1 - given / plain, 6), round(-cover, 6), missing, added)))
